@@ -27,19 +27,22 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-WHITESPACE_CODES = [ord(ch) for ch in WHITESPACE]
+WHITESPACE_LIST = list(WHITESPACE)
+
+
+def has_edge_space(c: Column) -> Column:
+    """First or last character is whitespace (null for null input)."""
+    return F.substring(c, 1, 1).isin(WHITESPACE_LIST) | F.substring(c, -1, 1).isin(WHITESPACE_LIST)
 
 
 def strip(c) -> Column:
     """Python ``str.strip()``: remove leading and trailing whitespace.
 
-    ``btrim`` with a character set rescans the text on every call, so it
-    only runs when the first or last character is whitespace (rare); the
-    test reads the first code point without allocating.
+    ``btrim`` with a character set allocates per call, so it only runs when
+    the first or last character is whitespace (rare in practice).
     """
     c = col_of(c)
-    edge = F.ascii(c).isin(WHITESPACE_CODES) | F.substring(c, -1, 1).isin(list(WHITESPACE))
-    return F.when(edge, F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
+    return F.when(has_edge_space(c), F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def upper_strip(c) -> Column:
@@ -47,9 +50,15 @@ def upper_strip(c) -> Column:
 
 
 def null_if_token(c, tokens) -> Column:
-    """A cell holding one of the export's empty-cell texts becomes null."""
+    """A cell holding one of the export's empty-cell texts becomes null.
+
+    One flat condition (no CASE nested in the test): the plain value is
+    checked first and the stripped one only when an edge is whitespace.
+    """
     c = col_of(c)
-    return F.when(strip(c).isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
+    tokens = list(tokens)
+    hit = c.isin(tokens) | (has_edge_space(c) & F.btrim(c, F.lit(WHITESPACE)).isin(tokens))
+    return F.when(hit, F.lit(None).cast("string")).otherwise(c)
 
 
 def is_number_text(c) -> Column:

@@ -85,11 +85,21 @@ def attach_area_lookup(df: DataFrame, areas: DataFrame) -> DataFrame:
             .drop("codigo"))
 
 
+def add_area_inputs(df: DataFrame) -> DataFrame:
+    """Upper-cased, stripped provider and branch as helper columns.
+
+    The rule chain reads each of them many times; as columns they are
+    computed once per row.
+    """
+    return df.withColumns({
+        "_prov_u": F.coalesce(text.upper_strip(text.as_text(F.col("proveedor"), text.dtype_of(df, "proveedor"))), F.lit("")),
+        "_suc_u": F.coalesce(text.upper_strip(text.as_text(F.col("sucursal"), text.dtype_of(df, "sucursal"))), F.lit("")),
+    })
+
+
 def area(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column:
-    """D7 ``AREA``; needs ``attach_area_lookup`` first."""
-    prov = F.coalesce(text.upper_strip(text.as_text(F.col("proveedor"), text.dtype_of(df, "proveedor"))), F.lit(""))
-    suc = F.coalesce(text.upper_strip(text.as_text(F.col("sucursal"), text.dtype_of(df, "sucursal"))), F.lit(""))
-    sol = F.col("_sol_key")
+    """D7 ``AREA``; needs ``attach_area_lookup`` and ``add_area_inputs`` first."""
+    prov, suc, sol = F.col("_prov_u"), F.col("_suc_u"), F.col("_sol_key")
     return (
         F.when(provider_rule(prov, rules), F.lit(R.RECARGAS))
         .when(provider_branch_rule(prov, suc, rules), F.lit(R.RECARGAS))
@@ -98,7 +108,10 @@ def area(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column:
     )
 
 
+HELPER_COLS = ("_sol_key", LOOKUP_COL, "_prov_u", "_suc_u")
+
+
 def add_area(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     """J1-J3 + D7: adds ``area`` and drops the helper columns."""
-    joined = attach_area_lookup(df, areas)
-    return joined.withColumn("area", area(joined, rules)).drop("_sol_key", LOOKUP_COL)
+    joined = add_area_inputs(attach_area_lookup(df, areas))
+    return joined.withColumn("area", area(joined, rules)).drop(*HELPER_COLS)

@@ -7,6 +7,7 @@ one aggregate and is meant for wide inputs with unknown columns only.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -76,10 +77,15 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
 
 
 def is_summary_row(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column:
-    """C5 test: invoice number holds a summary text (null -> not summary)."""
+    """C5 test: invoice number holds a summary text (null -> not summary).
+
+    One regular expression reads the stripped, upper-cased text once (a
+    filter does not share sub-expressions between its terms).
+    """
     u = text.upper_strip(text.as_text(F.col("numero_factura"), text.dtype_of(df, "numero_factura")))
-    hit = reduce(lambda a, b: a | b, [u.contains(t) for t in rules.summary_row_contains])
-    return F.coalesce(hit | (u == rules.summary_row_equals), F.lit(False))
+    pattern = "|".join([re.escape(t) for t in rules.summary_row_contains]
+                       + ["^" + re.escape(rules.summary_row_equals) + "$"])
+    return F.coalesce(u.rlike(pattern), F.lit(False))
 
 
 def drop_summary_rows(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:

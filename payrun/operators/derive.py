@@ -168,20 +168,37 @@ def usd_amount(df: DataFrame, target: str) -> Column:
 
 # -- wiring -------------------------------------------------------------------
 
+HELPERS = ("_m", "_p", "_acct", "_mto", "_ext", "_ord", "_cadm")
+
+
 def derive_payment(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """D1-D6. Needs the input columns and ``tasa_bolivares*`` rate columns."""
+    """D1-D6. Needs the input columns and ``tasa_bolivares*`` rate columns.
+
+    Coerced inputs are computed once into helper columns (``_m``, ``_p``,
+    ...) that later stages read by name: each is used several times, so
+    the optimizer keeps them as columns instead of copying the coercion
+    into every rule (small generated code, one evaluation per row).
+    ``derive_capex`` drops them.
+    """
     df = ensure_inputs(df)
-    m, p = currency(df), priority(df)
-    account = text.as_text(F.col("cuenta"), text.dtype_of(df, "cuenta"))
-    ext, ord_, cadm = (amount(df, c) for c in ("monto_capex_ext", "monto_capex_ord", "monto_cadm"))
-    monto = amount(df, "monto")
+    df = df.withColumns({
+        "_m": currency(df),
+        "_p": priority(df),
+        "_acct": text.as_text(F.col("cuenta"), text.dtype_of(df, "cuenta")),
+        "_mto": amount(df, "monto"),
+        "_ext": amount(df, "monto_capex_ext"),
+        "_ord": amount(df, "monto_capex_ord"),
+        "_cadm": amount(df, "monto_cadm"),
+    })
+    m, p = F.col("_m"), F.col("_p")
+    ext, ord_, cadm = F.col("_ext"), F.col("_ord"), F.col("_cadm")
     df = df.withColumns({
         "moneda_pago": payment_currency(m, p, rules),
-        "cuenta_bancaria": bank_account(m, p, account, rules),
+        "cuenta_bancaria": bank_account(m, p, F.col("_acct"), rules),
     })
     df = df.withColumn("dia_pago", payment_day(F.col("moneda_pago")))
     df = df.withColumn("monto_final", final_amount(
-        m, p, monto, F.col("dia_pago"),
+        m, p, F.col("_mto"), F.col("dia_pago"),
         F.col("tasa_bolivares"), F.col("tasa_bolivares_jueves"), rules))
     return df.withColumns({
         "monto_capex_final": capex_final(ext, ord_, cadm, F.col("monto_final")),
@@ -190,8 +207,10 @@ def derive_payment(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
 
 
 def derive_capex(df: DataFrame) -> DataFrame:
-    """D8-D16. Needs D1-D7 and the rate columns."""
-    ext, ord_ = amount(df, "monto_capex_ext"), amount(df, "monto_capex_ord")
+    """D8-D16. Needs D1-D7, the rate columns and ``derive_payment``'s helpers."""
+    if "_ext" not in df.columns:
+        df = df.withColumns({"_ext": amount(df, "monto_capex_ext"), "_ord": amount(df, "monto_capex_ord")})
+    ext, ord_ = F.col("_ext"), F.col("_ord")
     mcf, mof = F.col("monto_capex_final"), F.col("monto_opex_final")
     df = df.withColumn("tipo_capex_2", capex_kind(F.col("area"), mcf, mof))
     df = df.withColumn("tipo_capex", capex_type(F.col("area"), F.col("tipo_capex_2"), ext, ord_))
@@ -200,4 +219,5 @@ def derive_capex(df: DataFrame) -> DataFrame:
         "monto_capex_ext_3": capex_share(F.col("tipo_capex"), mcf, ext, ord_, "EXT"),
     })
     df = df.withColumns({t: usd_amount(df, t) for t in USD_PASSTHROUGH})
-    return df.withColumn("monto_total_usd", F.col("monto_capex_usd") + F.col("monto_opex_usd"))
+    df = df.withColumn("monto_total_usd", F.col("monto_capex_usd") + F.col("monto_opex_usd"))
+    return df.drop(*[h for h in HELPERS if h in df.columns])

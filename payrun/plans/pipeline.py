@@ -32,7 +32,8 @@ def derive_all(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES)
     """
     df = A.attach_area_lookup(df, areas)
     df = D.derive_payment(df, rules)
-    df = df.withColumn("area", A.area(df, rules)).drop("_sol_key", A.LOOKUP_COL)
+    df = A.add_area_inputs(df)
+    df = df.withColumn("area", A.area(df, rules)).drop(*A.HELPER_COLS)
     return D.derive_capex(df)
 
 
