@@ -159,8 +159,8 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   batch-0  header in row 0                                   -> H1, row 0
 #   batch-1  title in row 0, header in row 2 with a line break,
 #            a repeated name, a blank name and spaces          -> H1, row 2
-#   batch-2  title, a row of 12 numbers, a header with only 4
-#            exact names in row 3                              -> H2, row 3
+#   batch-2  title, a row of 12 numbers, a header with only 4 exact names (3 + "RIF")
+#            in row 3                                          -> H2, row 3
 #   batch-3  title only; the real header sits in row 25        -> H3, row 0
 
 _EXPECTED = EXPECTED_HEADERS
@@ -181,7 +181,7 @@ def _header_rows(arr: str) -> list[str]:
     quirky[9] = " Monto "
     quirky[13] = "Moneda"
     quirky[23] = None
-    partial = [h if h in ("Numero de Factura", "Monto", "Moneda", "Prioridad") else h.upper()
+    partial = [h if h in ("Numero de Factura", "Monto", "Moneda") else h.upper()
                for h in _EXPECTED]
     return [
         _row("batch-0", 0, _EXPECTED, arr),

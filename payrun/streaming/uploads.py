@@ -41,13 +41,19 @@ def start(spark: SparkSession, inbox: str, out: str, areas: DataFrame, rates: Da
         F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"),
     )
 
+    ckpt = checkpoint or os.path.join(spark.conf.get("spark.checkpoint.dir"), "uploads")
+
     def process(batch: DataFrame, epoch: int) -> None:
+        # Promoted rows land in a staging table first (S10): step 1 then
+        # reads plain stored columns, and a retried epoch overwrites its own
+        # staging folder, so a lost executor never duplicates a sheet.
         numbered = batch.withColumn("_id", F.monotonically_increasing_id())
-        named = H.promote_header(grid_of_batch(numbered), rules)
-        derived = pipeline.step1(named.drop("row_idx"), areas, rates, rules)
+        staging = os.path.join(ckpt, "staging", f"epoch={epoch}")
+        H.promote_header(grid_of_batch(numbered), rules).write.mode("overwrite").parquet(staging)
+        named = spark.read.parquet(staging).drop("row_idx")
+        derived = pipeline.step1(named, areas, rates, rules)
         derived.write.mode("append").partitionBy("batch_id").parquet(out)
 
-    ckpt = checkpoint or os.path.join(spark.conf.get("spark.checkpoint.dir"), "uploads")
     writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     if trigger_once:
         writer = writer.trigger(availableNow=True)

@@ -21,30 +21,31 @@ def derive(spark, data, ves=40.0, eur=1.2, cop=0.00025):
 
 def test_currency_account_day(spark):
     data = [
-        ("b", "1", None, "70", "A1", "10", "0", "0", "0", "P", "S", "123"),
-        ("b", "2", "eur", "10", "A2", "10", "0", "0", "0", "P", "S", "123"),
-        ("b", "3", " usd ", "70", None, "10", "0", "0", "0", "P", "S", "123"),
-        ("b", "4", "USD", "83", "A4", "10", "0", "0", "0", "P", "S", "123"),
-        ("b", "5", "USD", "60", "A5", "10", "0", "0", "0", "P", "S", "123"),
-        ("b", "6", "GBP", "60", "A6", "10", "0", "0", "0", "P", "S", "123"),
-        ("b", "7", "COP", "n/d", "A7", "10", "0", "0", "0", "P", "S", "123"),
+        ("b", "1", None, "70", "A1", "10", "0", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),
+        ("b", "2", "eur", "10", "A2", "10", "0", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),
+        ("b", "3", " usd ", "70", None, "10", "0", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),
+        ("b", "4", "USD", "83", "A4", "10", "0", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),
+        ("b", "5", "USD", "60", "A5", "10", "0", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),
+        ("b", "6", "GBP", "60", "A6", "10", "0", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),
+        ("b", "7", "COP", "n/d", "A7", "10", "0", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),
     ]
     r = derive(spark, data)
     assert [x.moneda_pago for x in r] == ["VES", "EUR", "USD", "VES", "VES", "VES", "COP"]
     assert [x.cuenta_bancaria for x in r] == ["A1", "A2", "", "A4", "1111", "A6", "A7"]
     assert [x.dia_pago for x in r] == ["JUEVES", "VIERNES", "VIERNES", "JUEVES", "JUEVES", "JUEVES", "JUEVES"]
-    # Null currency -> converted at Thursday rate; USD 70 in no-conversion list; GBP multiplied (Q13)
-    assert [x.monto_final for x in r] == [450.0, 450.0, 10.0, 10.0, 450.0, 450.0, 450.0]
+    # Priority 70/83 in the no-conversion list keep the amount; EUR (Friday) x ves;
+    # USD outside the lists, GBP (Q13) and COP are paid on Thursday: x (ves + 5)
+    assert [x.monto_final for x in r] == [10.0, 400.0, 10.0, 10.0, 450.0, 450.0, 450.0]
 
 
 def test_capex_split_and_usd(spark):
     data = [
-        ("b", "1", "VES", "60", "A", "100", "30", "10", "60", "P", "S", "123"),   # mixed
-        ("b", "2", "VES", "60", "A", "100", "0", "0", "50", "P", "S", "123"),    # opex only
-        ("b", "3", "VES", "60", "A", "100", "5", "-5", "0", "P", "S", "123"),    # total 0, ext+ord=0
-        ("b", "4", "EUR", "60", "A", "100", "40", "0", "0", "P", "S", "0"),      # ext only, requester 0
+        ("b", "1", "VES", "60", "A", "100", "30", "10", "60", "ACME SUMINISTROS", "SEDE CENTRO", "123"),   # mixed
+        ("b", "2", "VES", "60", "A", "100", "0", "0", "50", "ACME SUMINISTROS", "SEDE CENTRO", "123"),    # opex only
+        ("b", "3", "VES", "60", "A", "100", "5", "-5", "0", "ACME SUMINISTROS", "SEDE CENTRO", "123"),    # total 0, ext+ord=0
+        ("b", "4", "EUR", "60", "A", "100", "40", "0", "0", "ACME SUMINISTROS", "SEDE CENTRO", "0"),      # ext only, requester 0
         ("b", "5", "VES", "60", "A", "100", "0", "20", "20", "RECARGAS MOVIL C.A", "S", "123"),
-        ("b", "6", "VES", "60", "A", "0", "1", "1", "1", "P", "S", "123"),        # monto 0
+        ("b", "6", "VES", "60", "A", "0", "1", "1", "1", "ACME SUMINISTROS", "SEDE CENTRO", "123"),        # monto 0
     ]
     r = {x.numero_factura: x for x in derive(spark, data)}
     m = r["1"]
