@@ -22,7 +22,6 @@ from payrun.session import local_session  # noqa: E402
 HEADLINE = (
     "payment_totals",     # flagship: clean -> rates -> D1, D3, D4 -> totals
     "batch_summary",      # full D1-D16 chain + per-batch statistics
-    "warehouse_shape",    # full chain + 43-column warehouse projection
     "promote_header",     # grid -> header detection -> named rows
     "area_lookup",        # J1 lookup join
     "default_rate",       # quote snapshots R1-R7

@@ -53,7 +53,7 @@ def provider_branch_rule(prov: Column, branch: Column, rules: PayRules = DEFAULT
 def requester_key(df: DataFrame) -> Column:
     """Stripped requester text; a missing requester reads as ``'0'``."""
     sol = text.as_text(F.col("solicitante"), text.dtype_of(df, "solicitante"))
-    return F.coalesce(text.strip(sol), F.lit("0"))
+    return F.coalesce(text.strip(text.null_if_token(sol, R.NULL_TOKENS)), F.lit("0"))
 
 
 def requester_is_zero(sol: Column) -> Column:

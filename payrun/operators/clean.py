@@ -108,6 +108,14 @@ def empty_after_tokens(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+def drop_rows(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
+    """C1 + C5 on raw cells (token-aware); C10 is left to the caller."""
+    keep = ~empty_after_tokens(df, rules)
+    if "numero_factura" in df.columns:
+        keep = keep & ~is_summary_row(df, rules)
+    return df.where(keep)
+
+
 def clean(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     """C10 + C1 + C5 over a named invoice table (K9's data).
 
@@ -117,10 +125,7 @@ def clean(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     linear in the number of columns (a filter over aliased CASE columns
     makes it exponential).
     """
-    keep = ~empty_after_tokens(df, rules)
-    if "numero_factura" in df.columns:
-        keep = keep & ~is_summary_row(df, rules)
-    return null_tokens(df.where(keep), rules)
+    return null_tokens(drop_rows(df, rules), rules)
 
 
 # -- columns (C2) ---------------------------------------------------------------------

@@ -23,14 +23,19 @@ PROCESSED_MARKERS = ("moneda_pago", "monto_final", "area")
 
 
 def derive_all(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """D1-D16 over rows that already carry the ``tasa_*`` rate columns.
-
-    Both joins (rates before this call, the area lookup here) sit below the
-    derivation projections: the D-chain is one stack of projections with
-    nothing above it for the optimizer to infer constraints through, which
-    keeps planning time flat however long the rule chain grows.
+    """J1, C10 and D1-D16 over filtered rows that carry the rate columns.
+
+    Both joins (rates before this call, the area lookup here) come before
+    any projection that rewrites many columns: the C10 token nulling and
+    the D-chain sit above every join, so the optimizer never infers join
+    constraints through them (with 14 rewritten text columns below a join
+    that inference grows exponentially). The lookup key is token-aware on
+    its own, so the result equals nulling tokens first.
     """
+    text_cols = [c for c in df.columns if c in R.INPUT_COLUMNS
+                 and df.schema[c].dataType.simpleString() == "string"]
     df = A.attach_area_lookup(df, areas)
+    df = C.null_tokens(df, rules, cols=text_cols)
     df = D.derive_payment(df, rules)
     df = A.add_area_inputs(df)
     df = df.withColumn("area", A.area(df, rules)).drop(*A.HELPER_COLS)
@@ -39,8 +44,8 @@ def derive_all(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES)
 
 def step1(invoices: DataFrame, areas: DataFrame, rates: DataFrame,
           rules: PayRules = DEFAULT_RULES, key: str = "batch_id") -> DataFrame:
-    """Clean, attach each batch's rates and derive every column."""
-    df = C.clean(D.ensure_inputs(invoices), rules)
+    """Drop empty and summary rows, attach each batch's rates, derive."""
+    df = C.drop_rows(D.ensure_inputs(invoices), rules)
     df = RT.attach_rates(df, rates, key, rules)
     return derive_all(df, areas, rules)
 

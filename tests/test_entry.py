@@ -11,4 +11,4 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"json_records", "files_by_date"}
+    assert set(q) - set(o) == {"files_by_date"}
