@@ -35,3 +35,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {"op1_url_rules": op1_url_rules, "op4_packing": op4_packing, "op9_warc": op9_warc}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
