@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,3 +41,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def hash_sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, chosen by the hash of their id; all of a smaller table.
+
+    The choice does not depend on partitions or order. Only the ids are counted
+    before; the sample itself is one filter.
+    """
+    total = df.select(id_col).count()
+    if total <= rows:
+        return df
+    share = int(rows / total * (1 << 30))
+    return df.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) < share)

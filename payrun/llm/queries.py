@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payrun.llm import packing, url_rules, warc
+from payrun.llm import ann, langid, packing, pii, toxicity, url_rules, warc
 from payrun.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,43 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, url_rules.label_pages(pages, table(spark, sf_dir, "labels")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, labels.where(~held))
+    return toxicity.score(docs, model, keep=()).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held))
+    return langid.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score",
+                                               F.size("spans").alias("n_spans"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_spans(docs, pii.fit(docs))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *map(count, pii.BASE_KINDS),
+                        F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
+
+
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "archives")
     warc.write_archives(warc.mark_revisits(table(spark, sf_dir, "pages")), path)
@@ -34,7 +67,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_url_rules": op1_url_rules, "op4_packing": op4_packing, "op9_warc": op9_warc}
+    return {"op1_url_rules": op1_url_rules, "op2_toxicity": op2_toxicity, "op3_langid": op3_langid, "op4_packing": op4_packing, "op5_pii": op5_pii,
+            "op7_ann": op7_ann, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
