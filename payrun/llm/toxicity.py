@@ -37,7 +37,6 @@ STRIDE = WINDOW - OVERLAP
 WORD_BITS, GRAM_BITS = 18, 15
 WORD_DIM, GRAM_DIM, HIDDEN = 8, 8, 8
 THRESHOLD = 0.3
-POWERS = (np.uint64(0x9E3779B97F4A7C15) ** np.arange(1, 65, dtype=np.uint64)).astype(np.uint64)
 
 
 @dataclass
@@ -57,13 +56,7 @@ class Inputs:
 def word_inputs(words: WB.Words, lo: int, hi: int) -> Inputs:
     gram, begin = WB.trigrams(words, lo, hi, GRAM_BITS)
     length = words.ends[lo:hi] - words.starts[lo:hi]
-    a, b = int(words.starts[lo]), int(words.ends[hi - 1])
-    data = words.data[a:b]
-    letters = data[WB.IS_WORD[data]].astype(np.uint64)
-    place = (np.arange(len(letters)) - np.repeat(begin, length)) & 63
-    mixed = np.add.reduceat(letters * POWERS[place], begin)
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed = WB.hashes(words, lo, hi)
     return Inputs((mixed >> np.uint64(64 - WORD_BITS)).astype(np.int64), gram, begin, length)
 
 

@@ -32,11 +32,18 @@ class Words:
     first: np.ndarray
 
 
-def split_words(texts: list[str | None]) -> Words:
+#: The same with digits.
+IS_TERM = IS_WORD.copy()
+IS_TERM[ord("0"):ord("9") + 1] = True
+
+POWERS = (np.uint64(0x9E3779B97F4A7C15) ** np.arange(1, 65, dtype=np.uint64)).astype(np.uint64)
+
+
+def split_words(texts: list[str | None], kind: np.ndarray = IS_WORD) -> Words:
     """Lower-case words; null counts as empty. Texts never share a word."""
     parts = [(t or "").lower().encode() for t in texts]
     data = np.frombuffer(b"\n" + b"\n".join(parts) + b"\n", np.uint8)
-    inside = IS_WORD[data]
+    inside = kind[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = edges[::2], edges[1::2]
     offsets = np.cumsum([1, *(len(p) + 1 for p in parts)])
@@ -74,3 +81,16 @@ def scripts(words: Words, lo: int, hi: int) -> np.ndarray:
     inside = IS_WORD[data]
     lengths = words.ends[lo:hi] - words.starts[lo:hi]
     return np.maximum.reduceat(SCRIPT[data][inside], np.concatenate([[0], np.cumsum(lengths[:-1])]))
+
+
+def hashes(words: Words, lo: int, hi: int, kind: np.ndarray = IS_WORD) -> np.ndarray:
+    """64-bit hashes of words lo..hi."""
+    a, b = int(words.starts[lo]), int(words.ends[hi - 1])
+    data = words.data[a:b]
+    letters = data[kind[data]].astype(np.uint64)
+    length = words.ends[lo:hi] - words.starts[lo:hi]
+    begin = np.cumsum(length) - length
+    place = (np.arange(len(letters)) - np.repeat(begin, length)) & 63
+    mixed = np.add.reduceat(letters * POWERS[place], begin)
+    mixed ^= mixed >> np.uint64(29)
+    return mixed * np.uint64(0xBF58476D1CE4E5B9)
