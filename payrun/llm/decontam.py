@@ -11,7 +11,8 @@ recall; equal passages always agree.
 
 Before the walk, windows that cannot match are left out without loss: a window
 within distance k of any item of n words has at least n - k words of the items'
-vocabulary, and so many of that item's own (checked again by the edit distance).
+vocabulary and, as an edit breaks at most two word pairs, n - 1 - 2 k of the items'
+adjacent word pairs; pairs of a word with itself count for as many as an item has.
 
 Every document is handled inside one task, items are a broadcast in blocks of at
 most ``item_block``, so nothing is shuffled.
@@ -46,7 +47,7 @@ def term_hashes(words: WB.Words) -> np.ndarray:
 
 def step_bits(symbols: np.ndarray, step: int, seed: int) -> np.ndarray:
     """The random bit of each (walk, step, word)."""
-    salt = np.uint64((seed * 1_000_003 + step + 1) & 0xFFFFFFFF) * np.uint64(0x9E3779B97F4A7C15)
+    salt = np.uint64((seed * 1_000_003 + step + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
     return (mix(symbols.astype(np.uint64) + salt) >> np.uint64(63)).astype(np.int64)
 
 
@@ -87,6 +88,7 @@ class ItemIndex:
     """Items by word count, their vocabulary, and the sampled places of each table."""
 
     vocabulary: np.ndarray                              # sorted word hashes; id is the place plus one
+    pairs: np.ndarray                                   # sorted adjacent id pairs of the items
     by_length: dict[int, tuple[np.ndarray, np.ndarray]]   # n: item ids, words (items x n)
     similarity: float
     walks: int
@@ -101,7 +103,8 @@ class ItemIndex:
         for (item_id, _), a, b in zip(items, words.first[:-1], words.first[1:]):
             if b > a:
                 by_length.setdefault(int(b - a), []).append((item_id, ids[a:b] + 1))
-        return ItemIndex(vocabulary, {n: (np.array([i for i, _ in x]), np.stack([w for _, w in x]).astype(np.int64))
+        pairs = [w[:-1] * (len(vocabulary) + 1) + w[1:] for x in by_length.values() for _, w in x]
+        return ItemIndex(vocabulary, np.unique(np.concatenate(pairs or [np.zeros(0, np.int64)])), {n: (np.array([i for i, _ in x]), np.stack([w for _, w in x]).astype(np.int64))
                                       for n, x in sorted(by_length.items())}, similarity, walks, tables, sampled)
 
     def allowed(self, n: int) -> int:
@@ -113,26 +116,42 @@ class ItemIndex:
         rng = np.random.default_rng(1000 * n + turn)
         return rng.integers(0, 3 * n, (self.tables, self.sampled))
 
+    def item_keys(self, n: int, turn: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each table, the sorted keys of the items of n words and their order; kept
+        in the task's process once made."""
+        kept = self.__dict__.setdefault("_keys", {})
+        if (n, turn) not in kept:
+            words, places = self.by_length[n][1], self.places(n, turn)
+            out = walk(words.ravel(), np.arange(len(words)) * n, n, places.ravel(), turn).reshape(len(words), *places.shape)
+            keys = [fold(out[:, t]) for t in range(self.tables)]
+            kept[n, turn] = [(np.sort(key, kind="stable"), np.argsort(key, kind="stable")) for key in keys]
+        return kept[n, turn]
+
     def candidates(self, ids: np.ndarray, start: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs that agree in some table of some walk."""
-        words = self.by_length[n][1]
-        flat, item_start = words.ravel(), np.arange(len(words)) * n
-        found = []
+        words, found = self.by_length[n][1], []
         for turn in range(self.walks):
             places = self.places(n, turn)
             ours = walk(ids, start, n, places.ravel(), turn).reshape(len(start), *places.shape)
-            theirs = walk(flat, item_start, n, places.ravel(), turn).reshape(len(words), *places.shape)
-            for t in range(self.tables):
-                key, item_key = fold(ours[:, t]), fold(theirs[:, t])
-                order = np.argsort(item_key, kind="stable")
-                lo = np.searchsorted(item_key[order], key, "left")
-                count = np.searchsorted(item_key[order], key, "right") - lo
+            for t, (item_key, order) in enumerate(self.item_keys(n, turn)):
+                key = fold(ours[:, t])
+                lo = np.searchsorted(item_key, key, "left")
+                count = np.searchsorted(item_key, key, "right") - lo
                 window = np.repeat(np.arange(len(start)), count)
                 place = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
                 found.append(window * len(words) + order[place])
         pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         return pairs // len(words), pairs % len(words)
 
+    def _in_items(self, ids: np.ndarray) -> np.ndarray:
+        """Whether each word and the next differ and are adjacent in some item."""
+        out = np.zeros(max(0, len(ids) - 1), bool)
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0) & (ids[:-1] != ids[1:]))
+        if len(at) and len(self.pairs):
+            key = ids[at] * (len(self.vocabulary) + 1) + ids[at + 1]
+            out[at] = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
+        return out
+
     def match(self, texts: list[str | None]) -> dict[str, np.ndarray]:
         """Best window of each (text, item) within the allowed edits."""
         words = WB.split_words(texts, WB.IS_TERM)
@@ -142,16 +161,22 @@ class ItemIndex:
             place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
             ids = np.where(self.vocabulary[place] == hashes, place + 1, 0)
             known = np.concatenate([[0], np.cumsum(ids > 0)])
+            follow = np.concatenate([[0], np.cumsum(self._in_items(ids))])      # pairs before each word
             text_of = np.repeat(np.arange(len(texts)), np.diff(words.first))
             count = np.diff(words.first)
             for n, (item_ids, items) in self.by_length.items():
                 k = self.allowed(n)
+                pairs = n - 1 - 2 * k - int((items[:, 1:] == items[:, :-1]).sum(axis=1).max())
                 if len(ids) >= n:
-                    start = np.flatnonzero((known[n:] - known[:-n] >= n - k) & (text_of[n - 1:] == text_of[:len(ids) - n + 1]))
+                    start = np.flatnonzero((known[n:] - known[:-n] >= n - k)
+                                           & (follow[n - 1:] - follow[:len(ids) - n + 1] >= pairs)
+                                           & (text_of[n - 1:] == text_of[:len(ids) - n + 1]))
                     self._verify(ids, start, n, n, items, item_ids, k, text_of, words.first, out)
                 for size in range(max(1, n - k), n):            # documents shorter than the item
                     start = words.first[:-1][count == size]
-                    start = start[known[start + size] - known[start] >= n - k] if len(start) else start
+                    if len(start):
+                        start = start[(known[start + size] - known[start] >= n - k)
+                                      & (follow[start + size - 1] - follow[start] >= pairs)]
                     self._verify(ids, start, size, n, items, item_ids, k, text_of, words.first, out)
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
         order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
@@ -161,7 +186,7 @@ class ItemIndex:
         return dict(zip(("text", "item_id", "distance", "start", "n"), (c[best] for c in cols)))
 
     def _verify(self, ids, start, size, n, items, item_ids, k, text_of, first, out, block: int = 20_000) -> None:
-        for at in range(0, len(start), block):
+        for at in range(0, len(start), block):              # no window, no walk
             part = start[at:at + block]
             if size == n:
                 window, item = self.candidates(ids, part, n)
@@ -183,7 +208,7 @@ def fold(samples: np.ndarray) -> np.ndarray:
     return key
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks: int = 3, tables: int = 16,
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks: int = 4, tables: int = 16,
                  sampled: int = 2, item_block: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Best matching window of each (document, item) with a word edit distance of at
     most ``(1 - similarity)`` times the item's words.
@@ -204,7 +229,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     return found
 
 
-def scan(index, group_bytes: int = 4 << 20):
+def scan(index, group_bytes: int = 16 << 20):
     """Matches the texts of a batch in groups of about ``group_bytes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
