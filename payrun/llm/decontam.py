@@ -38,6 +38,7 @@ from payrun.llm.shingles import mix
 
 COLUMNS = "doc_id long, item_id long, distance int, start_word int, n_words int, similarity double"
 PAD = -1
+MEMBER = 4096        # width of the tables of items' words; two words of one place only let more windows through
 
 
 def term_hashes(words: WB.Words) -> np.ndarray:
@@ -71,10 +72,10 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     p, n = a.shape
     m = b.shape[1]
     far = most + 1
-    row = np.minimum(np.arange(m + 1), far)[None].repeat(p, 0)
+    row = np.minimum(np.arange(m + 1), far).astype(np.int16)[None].repeat(p, 0)
     for i in range(1, n + 1):
         lo, hi = max(1, i - most), min(m, i + most)
-        new = np.full((p, m + 1), far)
+        new = np.full((p, m + 1), far, np.int16)
         if i <= most:
             new[:, 0] = i
         for j in range(lo, hi + 1):
@@ -186,7 +187,11 @@ class ItemIndex:
         return dict(zip(("text", "item_id", "distance", "start", "n"), (c[best] for c in cols)))
 
     def _verify(self, ids, start, size, n, items, item_ids, k, text_of, first, out, block: int = 20_000) -> None:
-        for at in range(0, len(start), block):              # no window, no walk
+        if not len(start):
+            return
+        member = np.zeros((len(items), MEMBER), bool)
+        member[np.repeat(np.arange(len(items)), n), items.ravel() % MEMBER] = True
+        for at in range(0, len(start), block):
             part = start[at:at + block]
             if size == n:
                 window, item = self.candidates(ids, part, n)
@@ -194,7 +199,10 @@ class ItemIndex:
                 window, item = (x.ravel() for x in np.meshgrid(np.arange(len(part)), np.arange(len(items)), indexing="ij"))
             for a in range(0, len(window), block):
                 w, x = part[window[a:a + block]], item[a:a + block]
-                distance = edit_distance(ids[w[:, None] + np.arange(size)], items[x], k)
+                text = ids[w[:, None] + np.arange(size)]
+                shared = member[x[:, None], text % MEMBER].sum(axis=1) >= n - k     # without loss: words of that item
+                w, x, text = w[shared], x[shared], text[shared]
+                distance = edit_distance(text, items[x], k)
                 near = distance <= k
                 if near.any():
                     w, x = w[near], x[near]
