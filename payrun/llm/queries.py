@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payrun.llm import ann, decontam, hamming_dedup, langid, packing, pii, toxicity, url_rules, warc
+from payrun.llm import ann, decontam, hamming_dedup, langid, packing, pii, suffix_index, toxicity, url_rules, warc
 from payrun.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.joined(F.col("spans")).alias("spans"))
 
 
+def op6_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -76,7 +80,7 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {"op1_url_rules": op1_url_rules, "op2_toxicity": op2_toxicity, "op3_langid": op3_langid, "op4_packing": op4_packing, "op5_pii": op5_pii,
-            "op7_ann": op7_ann, "op8_near_dups": op8_near_dups, "op9_warc": op9_warc, "op10_decontam": op10_decontam}
+            "op6_suffix_index": op6_suffix_index, "op7_ann": op7_ann, "op8_near_dups": op8_near_dups, "op9_warc": op9_warc, "op10_decontam": op10_decontam}
 
 
 def oracle_sql() -> dict[str, str]:
