@@ -78,9 +78,16 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline.py``, which stands beside the package."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir).drop("ids")
+
+
 def queries() -> dict[str, Query]:
     return {"op1_url_rules": op1_url_rules, "op2_toxicity": op2_toxicity, "op3_langid": op3_langid, "op4_packing": op4_packing, "op5_pii": op5_pii,
-            "op6_suffix_index": op6_suffix_index, "op7_ann": op7_ann, "op8_near_dups": op8_near_dups, "op9_warc": op9_warc, "op10_decontam": op10_decontam}
+            "op6_suffix_index": op6_suffix_index, "op7_ann": op7_ann, "op8_near_dups": op8_near_dups, "op9_warc": op9_warc, "op10_decontam": op10_decontam, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
