@@ -159,9 +159,9 @@ class SuffixFamily:
     def add(self, docs: DataFrame) -> DataFrame:
         """Intervals (doc_id, start, end) of ``docs`` (doc_id, text) that occur earlier:
         in an earlier batch, a smaller doc_id of this one, or further left."""
-        entries = stage(suffixes(docs, self.length), "suffixes")
+        entries = suffixes(docs, self.length)       # a plain scan, cheaper to run again than to keep
         own = stage(entries.groupBy("key", "around").agg(F.min(F.struct("doc_id", "pos", "lo", "hi")).alias("first"), F.count("*").alias("n"))
-                    .select("key", "around", "first.*", "n").repartition("key").sortWithinPartitions("key", "around"), "array")
+                    .select("key", "around", "first.*", "n").sortWithinPartitions("key", "around"), "array")
         self.seen = docs if self.seen is None else self.seen.union(docs)
         found = self._scan(entries, own)
         self.levels.append((1, own.drop("n")))
@@ -177,8 +177,12 @@ class SuffixFamily:
         rows = own.select("key", "around", "doc_id", "pos", "lo", "hi", "n", F.lit(True).alias("new"))
         for _, level in self.levels:
             rows = rows.union(level.select("key", "around", "doc_id", "pos", "lo", "hi", F.lit(1).alias("n"), F.lit(False).alias("new")))
-        firsts = (rows.groupBy("key", "around").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.sum("n").alias("n"), F.max("new").alias("new"))
-                  .where("n > 1 and new").select("key", "around", F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos")))
+        firsts = own.where("n > 1").select("key", "around", F.col("doc_id").alias("first_doc"), F.col("pos").alias("first_pos"))
+        for _, level in self.levels:        # what an older array holds is earlier than all of this batch
+            older = own.select("key", "around").join(level, ["key", "around"])
+            firsts = firsts.union(older.select("key", "around", "doc_id", "pos"))
+        firsts = (firsts.groupBy("key", "around").agg(F.min(F.struct("first_doc", "first_pos")).alias("first"))
+                  .select("key", "around", "first.*"))
         later = (F.col("doc_id") > F.col("first_doc")) | ((F.col("doc_id") == F.col("first_doc")) & (F.col("pos") > F.col("first_pos")))
         whole = (entries.join(firsts, ["key", "around"]).where(later)
                  .select("doc_id", (F.col("pos") + F.col("lo")).alias("start"), (F.col("pos") + F.col("hi") + length).alias("end")))
