@@ -50,10 +50,10 @@ def provider_branch_rule(prov: Column, branch: Column, rules: PayRules = DEFAULT
     return reduce(lambda a, b: a | b, hits, F.lit(False))
 
 
-def requester_key(df: DataFrame) -> Column:
+def requester_key(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column:
     """Stripped requester text; a missing requester reads as ``'0'``."""
     sol = text.as_text(F.col("solicitante"), text.dtype_of(df, "solicitante"))
-    return F.coalesce(text.strip(text.null_if_token(sol, R.NULL_TOKENS)), F.lit("0"))
+    return F.coalesce(text.strip(text.null_if_token(sol, rules.null_tokens)), F.lit("0"))
 
 
 def requester_is_zero(sol: Column) -> Column:
@@ -77,10 +77,10 @@ def dedupe_areas(areas: DataFrame) -> DataFrame:
     return a.groupBy("codigo").agg(F.max_by("area", "pos").alias("area"))
 
 
-def attach_area_lookup(df: DataFrame, areas: DataFrame) -> DataFrame:
+def attach_area_lookup(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     """Left join the deduplicated lookup on the requester code."""
     lookup = dedupe_areas(areas).withColumnRenamed("area", LOOKUP_COL)
-    keyed = df.withColumn("_sol_key", requester_key(df))
+    keyed = df.withColumn("_sol_key", requester_key(df, rules))
     return (keyed.join(lookup, keyed["_sol_key"] == lookup["codigo"], "left")
             .drop("codigo"))
 
@@ -113,5 +113,5 @@ HELPER_COLS = ("_sol_key", LOOKUP_COL, "_prov_u", "_suc_u")
 
 def add_area(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     """J1-J3 + D7: adds ``area`` and drops the helper columns."""
-    joined = add_area_inputs(attach_area_lookup(df, areas))
+    joined = add_area_inputs(attach_area_lookup(df, areas, rules))
     return joined.withColumn("area", area(joined, rules)).drop(*HELPER_COLS)

@@ -34,7 +34,7 @@ def derive_all(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES)
     """
     text_cols = [c for c in df.columns if c in R.INPUT_COLUMNS
                  and df.schema[c].dataType.simpleString() == "string"]
-    df = A.attach_area_lookup(df, areas)
+    df = A.attach_area_lookup(df, areas, rules)
     df = C.null_tokens(df, rules, cols=text_cols)
     df = D.derive_payment(df, rules)
     df = A.add_area_inputs(df)

@@ -28,6 +28,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         rel.alias("path"),
         F.element_at(parts, -1).alias("nombre"),
         F.when(F.size(parts) >= 2, F.get(parts, 0)).otherwise(F.lit(R.NO_DATE_FOLDER)).alias("fecha"),
+        F.coalesce(F.col("length"), F.lit(0)).alias("bytes"),
         F.round(F.coalesce(F.col("length"), F.lit(0)) / F.lit(1048576.0), 2).alias("tamano_mb"),
         dates.iso_text(F.col("modificationTime")).alias("actualizado"),
     )
@@ -44,7 +45,7 @@ def files_by_date(files: DataFrame) -> DataFrame:
     """A8 + O1: files and size per date folder, newest date first."""
     return (files.groupBy("fecha")
             .agg(F.count("*").alias("total_archivos"),
-                 F.round(F.sum("tamano_mb"), 2).alias("total_mb"),
+                 F.round(F.sum("bytes") / F.lit(1048576.0), 2).alias("total_mb"),
                  F.max("actualizado").alias("ultimo"))
             .orderBy(F.desc("fecha")))
 
