@@ -1,5 +1,8 @@
 """Text and number helpers, all as native Column expressions.
 
+Each helper names its input once (``null_if_token`` twice), so that nested helpers
+stay small where the optimizer merges projections and filters.
+
 Inputs from spreadsheets arrive as text; inputs from typed tables arrive as
 numbers. ``num``/``to_int`` take the Spark type of the column so that both
 shapes go through the same rules without a Python UDF.
@@ -27,53 +30,39 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-WHITESPACE_LIST = list(WHITESPACE)
-
-
-def has_edge_space(c: Column) -> Column:
-    """First or last character is whitespace (null for null input)."""
-    return F.substring(c, 1, 1).isin(WHITESPACE_LIST) | F.substring(c, -1, 1).isin(WHITESPACE_LIST)
-
-
 def strip(c) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace.
-
-    ``btrim`` with a character set allocates per call, so it only runs when
-    the first or last character is whitespace (rare in practice).
-    """
-    c = col_of(c)
-    return F.when(has_edge_space(c), F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
+    """Python ``str.strip()``: remove leading and trailing whitespace."""
+    return F.btrim(col_of(c), F.lit(WHITESPACE))
 
 
 def upper_strip(c) -> Column:
     return F.upper(strip(c))
 
 
+def is_empty_cell(c: Column, tokens) -> Column:
+    """True for null and for an empty-cell text (never null)."""
+    tokens = list(tokens)
+    return F.coalesce(c, F.lit(tokens[0])).isin(tokens) if tokens else c.isNull()
+
+
 def null_if_token(c, tokens) -> Column:
-    """A cell holding one of the export's empty-cell texts becomes null.
+    """A cell that is one of the export's empty-cell texts becomes null.
 
-    One flat condition (no CASE nested in the test): the plain value is
-    checked first and the stripped one only when an edge is whitespace.
+    The text is compared as it stands: blanks around a token keep it.
     """
     c = col_of(c)
-    tokens = list(tokens)
-    hit = c.isin(tokens) | (has_edge_space(c) & F.btrim(c, F.lit(WHITESPACE)).isin(tokens))
-    return F.when(hit, F.lit(None).cast("string")).otherwise(c)
-
-
-def is_number_text(c) -> Column:
-    """True when the text parses as a finite number (null for null input)."""
-    return strip(c).rlike(NUMBER_PATTERN)
+    return F.when(~c.isin(list(tokens)), c) if tokens else c
 
 
 def text_to_double(c) -> Column:
     """Number text -> double; anything else -> null."""
-    s = strip(col_of(c))
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    return F.regexp_extract(strip(c), NUMBER_PATTERN, 0).try_cast("double")
 
 
 def _finite_or_null(c: Column) -> Column:
-    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+    """Finite values unchanged, NaN and infinities null: the remainder by
+    infinity is the value itself, or NaN where there is none."""
+    return F.nanvl(c % F.lit(float("inf")), F.lit(None).cast("double"))
 
 
 def num(c, dtype: T.DataType | None = None) -> Column:
@@ -90,7 +79,7 @@ def num(c, dtype: T.DataType | None = None) -> Column:
 
 def to_int(c, dtype: T.DataType | None = None) -> Column:
     """C6, then truncate toward zero; out of range -> 0."""
-    return F.coalesce(num(c, dtype).try_cast("int"), F.lit(0))
+    return F.coalesce(num(c, dtype).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def dtype_of(df: DataFrame, name: str) -> T.DataType:

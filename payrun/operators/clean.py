@@ -8,6 +8,7 @@ one aggregate and is meant for wide inputs with unknown columns only.
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -97,19 +98,26 @@ def drop_summary_rows(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFra
 
 def empty_after_tokens(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column:
     """C1 test on raw values: every data cell is null or an empty-cell text."""
-    tokens = list(rules.null_tokens)
     tests = []
     for f in df.schema.fields:
         if f.name in KEY_COLUMNS:
             continue
         c = F.col(f"`{f.name}`")
-        tests.append(c.isNull() | text.strip(c).isin(tokens)
+        tests.append(text.is_empty_cell(c, rules.null_tokens)
                      if isinstance(f.dataType, T.StringType) else c.isNull())
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
 def drop_rows(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """C1 + C5 on raw cells (token-aware); C10 is left to the caller."""
+    """C1 + C5 on raw cells (token-aware); C10 is left to the caller.
+
+    The rows read are counted (``observe``) just below the filter. The optimizer
+    moves no filter through that count, and so does not merge this test, which names
+    every cell, with the expressions that build the cells: from such a test it would
+    infer one more constraint for each subset of the columns. The test could not
+    reach a scan anyway.
+    """
+    df = df.observe(f"rows_read_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
     keep = ~empty_after_tokens(df, rules)
     if "numero_factura" in df.columns:
         keep = keep & ~is_summary_row(df, rules)

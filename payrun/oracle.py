@@ -14,6 +14,10 @@ from .sources import fixtures as FX
 
 WS = WHITESPACE.replace("'", "''")
 
+# Empty-cell texts, stated here apart from the package's own list.
+EMPTY_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -47,11 +51,11 @@ def num_of_text(x: str) -> str:
 
 
 def int_of_text(x: str) -> str:
-    return f"coalesce(TRY_CAST(trunc({num_of_text(x)}) AS INTEGER), 0)"
+    return f"coalesce(TRY_CAST(trunc({num_of_text(x)}) AS BIGINT), 0)"
 
 
 def null_token(x: str) -> str:
-    return f"(CASE WHEN {strip(x)} IN {in_list(R.NULL_TOKENS)} THEN NULL ELSE {x} END)"
+    return f"(CASE WHEN {x} IN {in_list(EMPTY_TEXTS)} THEN NULL ELSE {x} END)"
 
 
 # Invoice columns of the fixture and their kind.
@@ -284,7 +288,8 @@ DERIVED_VIEWS = {
     "total_usd": "monto_capex_usd, monto_opex_usd, monto_total_usd",
 }
 
-DERIVED_WIDTH = 1 + len(R.INPUT_COLUMNS) + len(R.RATE_COLUMNS) + len(R.DERIVED_COLUMNS)
+# 24 sheet columns and 16 derived ones.
+DERIVED_WIDTH = 40
 RUN_TS = "2026-01-15 14:30:00"
 
 

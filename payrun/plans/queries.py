@@ -269,7 +269,7 @@ def q_rates_report(spark, sf):
 
 def q_dated_runs(spark, sf):
     batches = cleaned(spark, sf).groupBy("batch_id").agg(F.count("*").alias("rows"))
-    return P.dated_runs(batches, run_ts()).join(batches, "batch_id")
+    return P.dated_runs(batches, run_ts(), keep=("rows",))
 
 
 # -- listing (S8, A8, A9, O1) -------------------------------------------------------
@@ -288,18 +288,6 @@ def q_payment_totals(spark, sf):
             .agg(F.count("*").alias("rows"), S.money_sum(F.col("monto_final")).alias("total_monto_final")))
 
 
-# Publishing queries over every derived column at once. Their plans do not
-# finish optimizing yet (the full D-chain with all columns alive); they stay
-# out of the registry until that is fixed so they cannot stall a run. The
-# operators themselves are unit-tested (tests/test_header_publish.py).
-PENDING = {
-    "renamed_output": q_renamed_output,
-    "ordered_output": q_ordered_output,
-    "warehouse_shape": q_warehouse_shape,
-    "json_records": q_json_records,
-}
-
-
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg = {
         "payment_totals": q_payment_totals,
@@ -334,6 +322,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rows_by_day": q_rows_by_day,
         "amount_sums": q_amount_sums,
         "batch_summary": q_batch_summary,
+        "renamed_output": q_renamed_output,
+        "ordered_output": q_ordered_output,
+        "warehouse_shape": q_warehouse_shape,
+        "json_records": q_json_records,
         "rates_report": q_rates_report,
         "dated_runs": q_dated_runs,
         "files_by_date": q_files_by_date,

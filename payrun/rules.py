@@ -183,8 +183,9 @@ WAREHOUSE_NAMES = (
     ("CAPEX", "tipo_capex_2"),
 )
 
-# Texts a spreadsheet export uses for an empty cell.
-NULL_TOKENS = ("", "NA", "N/A", "#N/A", "NULL", "null", "NaN", "nan", "None")
+# Texts a spreadsheet reader takes for an empty cell.
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 # Payment days and capex kinds produced by the rules.
 THURSDAY, FRIDAY, TUESDAY = "JUEVES", "VIERNES", "MARTES"

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from payrun import rules as R
 from payrun.functions import text
 
 
@@ -20,7 +21,18 @@ def test_num_and_int_coercion(spark):
 
 
 def test_null_tokens(spark):
-    vals = ["NA", " n/a ", "#N/A", " None ", "null", "x", "", None]
+    vals = ["NA", "n/a", " n/a ", "<NA>", "#N/A", " None ", "null", "x", "", None]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
-    got = [r[0] for r in df.select(text.null_if_token(F.col("s"), ("", "NA", "N/A", "#N/A", "NULL", "null", "NaN", "nan", "None"))).collect()]
-    assert got == [None, " n/a ", None, None, None, "x", None, None]
+    got = [tuple(r) for r in df.select(text.null_if_token(F.col("s"), R.NULL_TOKENS),
+                                       text.is_empty_cell(F.col("s"), R.NULL_TOKENS)).collect()]
+    kept = [None, None, " n/a ", None, None, " None ", None, "x", None, None]
+    assert got == [(v, v is None) for v in kept]
+
+
+def test_large_integers_and_non_finite(spark):
+    df = spark.createDataFrame([("3000000000",), ("1e25",), ("1e999",), ("-1e999",), ("-0.0",)], "s string")
+    rows = df.select(text.num(F.col("s")).alias("n"), text.to_int(F.col("s")).alias("i")).collect()
+    assert [r.n for r in rows] == [3e9, 1e25, 0.0, 0.0, 0.0]
+    assert [r.i for r in rows] == [3_000_000_000, 0, 0, 0, 0]
+    d = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.7976931348623157e308,), (None,)], "v double")
+    assert [r[0] for r in d.select(text.num(F.col("v"), d.schema["v"].dataType)).collect()] == [0.0, 0.0, 1.7976931348623157e308, 0.0]
