@@ -15,37 +15,61 @@ skipped by the CSV reader.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHEET_GLOB = "*.{csv,CSV}"
 
 
+RECORD = "_record"          # the text of a record whose cell count differs from the schema's
+CSV_OPTIONS = {"multiLine": True, "escape": '"', "header": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
+
+
 def wide_schema(width: int) -> T.StructType:
-    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*(f"c{i}" for i in range(width)), RECORD]])
+
+
+def record_width(record: Column) -> Column:
+    """Cells of a CSV record: its separators outside quotes, plus one."""
+    return F.length(F.regexp_replace(record, '"[^"]*+"|[^,]', "")) + 1
+
+
+def sheet_width(spark: SparkSession, path: str, glob: str = SHEET_GLOB) -> int:
+    """The most cells that any record of these sheets has (one pass, one number back)."""
+    raw = spark.read.schema(wide_schema(1)).options(pathGlobFilter=glob, **CSV_OPTIONS).csv(path)
+    widest = raw.agg(F.max(F.coalesce(record_width(F.col(RECORD)), F.when(F.col("c0").isNotNull(), 1))).alias("n")).first().n
+    return widest or 1
 
 
-def read_grid(spark: SparkSession, path: str, width: int = 64,
-              glob: str = SHEET_GLOB) -> DataFrame:
+def sheet_rows(raw: DataFrame, width: int) -> DataFrame:
+    """``batch_id, _path, cells`` of records read with ``wide_schema(width)``; a
+    record of more cells is an error, never cut."""
+    too_wide = F.concat(F.lit(f"a record has more than {width} cells: "), F.col("_metadata.file_path"))
+    return raw.select(
+        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("batch_id"),
+        F.col("_metadata.file_path").alias("_path"),
+        F.when(record_width(F.col(RECORD)) > width, F.raise_error(too_wide))
+        .otherwise(F.array(*[F.col(f"c{i}") for i in range(width)])).alias("cells"),
+    )
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Row positions inside each file, from ids that rise within it."""
+    first = rows.groupBy("_path").agg(F.min("_id").alias("_first"))
+    return rows.join(first, "_path").select("batch_id", (F.col("_id") - F.col("_first")).alias("row_idx"), "cells")
+
+
+def read_grid(spark: SparkSession, path: str, glob: str = SHEET_GLOB) -> DataFrame:
     """A directory of exported sheets -> ``grid(batch_id, row_idx, cells)``.
 
     ``batch_id`` is the file name without extension; ``glob`` chooses which
-    files (and so which sheets) are read (S9).
+    files (and so which sheets) are read (S9). The widest record decides how many
+    cells each row has.
     """
-    raw = (spark.read.schema(wide_schema(width))
-           .options(multiLine=True, escape='"', header=False, mode="PERMISSIVE",
-                    pathGlobFilter=glob)
-           .csv(path))
-    fname = F.col("_metadata.file_name")
-    rows = raw.select(
-        F.regexp_replace(fname, r"\.[^.]*$", "").alias("batch_id"),
-        F.monotonically_increasing_id().alias("_id"),
-        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"),
-    )
-    first = rows.groupBy("batch_id").agg(F.min("_id").alias("_first"))
-    return (rows.join(first, "batch_id")
-            .select("batch_id", (F.col("_id") - F.col("_first")).alias("row_idx"), "cells"))
+    width = sheet_width(spark, path, glob)
+    raw = spark.read.schema(wide_schema(width)).options(pathGlobFilter=glob, **CSV_OPTIONS).csv(path)
+    return numbered(sheet_rows(raw, width).withColumn("_id", F.monotonically_increasing_id()))
 
 
 def write_sheet(df: DataFrame, path: str) -> None:

@@ -19,27 +19,19 @@ from pyspark.sql import functions as F
 from ..operators import header as H
 from ..plans import pipeline
 from ..rules import DEFAULT_RULES, PayRules
-from ..sources.sheets import SHEET_GLOB, wide_schema
-
-
-def grid_of_batch(rows: DataFrame) -> DataFrame:
-    """Row positions inside each file of one micro-batch (see S1)."""
-    first = rows.groupBy("batch_id").agg(F.min("_id").alias("_first"))
-    return rows.join(first, "batch_id").select(
-        "batch_id", (F.col("_id") - F.col("_first")).alias("row_idx"), "cells")
+from ..sources.sheets import CSV_OPTIONS, SHEET_GLOB, numbered, sheet_rows, wide_schema
 
 
 def start(spark: SparkSession, inbox: str, out: str, areas: DataFrame, rates: DataFrame,
           width: int = 64, rules: PayRules = DEFAULT_RULES, checkpoint: str | None = None,
           trigger_once: bool = False):
-    """Start the stream; returns the ``StreamingQuery``."""
-    raw = (spark.readStream.schema(wide_schema(width))
-           .options(multiLine=True, escape='"', header=False, pathGlobFilter=SHEET_GLOB)
-           .csv(inbox))
-    rows = raw.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("batch_id"),
-        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"),
-    )
+    """Start the stream; returns the ``StreamingQuery``.
+
+    A stream's schema is fixed when it starts: a record of more than ``width``
+    cells ends the query with an error.
+    """
+    raw = spark.readStream.schema(wide_schema(width)).options(pathGlobFilter=SHEET_GLOB, **CSV_OPTIONS).csv(inbox)
+    rows = sheet_rows(raw, width)
 
     ckpt = checkpoint or os.path.join(spark.conf.get("spark.checkpoint.dir"), "uploads")
 
@@ -47,9 +39,9 @@ def start(spark: SparkSession, inbox: str, out: str, areas: DataFrame, rates: Da
         # Promoted rows land in a staging table first (S10): step 1 then
         # reads plain stored columns, and a retried epoch overwrites its own
         # staging folder, so a lost executor never duplicates a sheet.
-        numbered = batch.withColumn("_id", F.monotonically_increasing_id())
+        grid = numbered(batch.withColumn("_id", F.monotonically_increasing_id()))
         staging = os.path.join(ckpt, "staging", f"epoch={epoch}")
-        H.promote_header(grid_of_batch(numbered), rules).write.mode("overwrite").parquet(staging)
+        H.promote_header(grid, rules).write.mode("overwrite").parquet(staging)
         named = spark.read.parquet(staging).drop("row_idx")
         derived = pipeline.step1(named, areas, rates, rules)
         derived.write.mode("append").partitionBy("batch_id").parquet(out)
