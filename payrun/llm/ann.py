@@ -4,8 +4,9 @@ Centroids come from spherical k-means with a size penalty on a bounded sample, s
 lists stay balanced. A centroid graph in memory (each linked to its nearest
 others, both ways) is searched best-first to find the lists of a vector. A vector
 near a boundary is replicated to every list almost as close as its nearest; a
-query probes the lists within a distance ratio of its nearest list. Scores are
-exact cosines in double precision.
+query always probes its nearest ``least_probes`` lists, and beyond them those within
+a distance ratio of its nearest list. A query for which these hold fewer than ``k``
+other ids searches all lists. Scores are exact cosines in double precision.
 
 Rows with equal vectors share one posting. The posting carries their smallest
 ``k + 1`` ids: equal vectors score alike and ties go to smaller ids, so no other id
@@ -94,12 +95,13 @@ class Centroids:
         order = np.argsort(-sims, axis=1, kind="stable")[:, :beam]
         return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
-    def lists(self, x: np.ndarray, ratio: float, most: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row, list): of the ``most`` nearest lists those within ``ratio`` times
-        the distance of the nearest."""
+    def lists(self, x: np.ndarray, ratio: float, least: int, most: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, list): the ``least`` nearest lists, and of the ``most`` nearest
+        those within ``ratio`` times the distance of the nearest."""
         ids, sims = self.search(x, max(beam, most))
         distance = np.sqrt(np.maximum(0, 2 - 2 * sims[:, :most]))
-        near = (ids[:, :most] >= 0) & (distance <= ratio * distance[:, :1] + 1e-6)
+        wanted = (np.arange(distance.shape[1]) < least) | (distance <= ratio * distance[:, :1] + 1e-6)
+        near = (ids[:, :most] >= 0) & wanted
         row, place = np.nonzero(near)
         return row, ids[row, place]
 
@@ -147,7 +149,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     ``max_lists`` centroids of one dimension are what the driver and each task
     hold; the sample that they are fitted on is bounded by ``sample`` rows. Weakly
     clustered vectors need a share of all lists for their recall; where a query is
-    much closer to some lists than to others, ``probe_ratio`` leaves those few.
+    much closer to some lists than to others, ``probe_ratio`` leaves those few, but
+    never fewer than ``least_probes``.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
@@ -165,22 +168,22 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     lists = int(np.clip(n // list_rows, 1, min(max_lists, max(1, len(fitted) // 8))))
     model = spark.sparkContext.broadcast(Centroids.build(balanced_kmeans(fitted, lists)))
 
-    def placed(ratio: float, most: int, extra: list[str]):
+    def placed(ratio: float, least: int, most: int, extra: list[str]):
         def run(batches):
             for pdf in batches:
                 if len(pdf):
-                    row, of = model.value.lists(unit(np.stack(pdf["vec"])), ratio, most, beam=most + 16)
+                    row, of = model.value.lists(unit(np.stack(pdf["vec"])), ratio, least, most, beam=most + 16)
                     yield pd.DataFrame({"list": of, **{c: pdf[c].to_numpy()[row] for c in ["key", "vec", *extra]}})
         return run
 
-    indexed = stage(postings.mapInPandas(placed(replica_ratio, replicas, ["ids"]),
+    indexed = stage(postings.mapInPandas(placed(replica_ratio, 1, replicas, ["ids"]),
                                          "list int, key long, vec array<double>, ids array<long>"), "lists")
     sizes = {r["list"]: r["count"] for r in indexed.groupBy("list").count().collect()}      # at most max_lists rows
     split = [max(1, -(-sizes.get(i, 0) // block_rows)) for i in range(lists)]
     n_blocks = F.element_at(F.array(*map(F.lit, split)), F.col("list") + 1)
-    probing = (queries.groupBy("vec").agg(F.min("vec_id").alias("key"))
-               .mapInPandas(placed(probe_ratio, max(least_probes, int(probe_share * lists)), []), "list int, key long, vec array<double>")
-               .withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1))))
+    asked = queries.groupBy("vec").agg(F.min("vec_id").alias("key"))
+    probing = asked.mapInPandas(placed(probe_ratio, least_probes, max(least_probes, int(probe_share * lists)), []),
+                                "list int, key long, vec array<double>")
     indexed = indexed.withColumn("block", F.pmod(F.xxhash64("key"), n_blocks).cast("int"))
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -197,17 +200,28 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
                 out["key"] += [key] * len(top)
                 out["score"] += score.tolist()
                 out["ids"] += ids[top].tolist()
+        out["ids"] = pd.Series(out["ids"], dtype=object)     # also where there are none
         return pd.DataFrame(out)
 
-    found = (probing.groupBy("list", "block").cogroup(indexed.groupBy("list", "block"))
-             .applyInPandas(nearest, "key long, score double, ids array<long>"))
     first = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
-    best = (found.select("key", "score", F.explode("ids").alias("vec_id")).groupBy("key", "vec_id")
-            .agg(F.max("score").alias("score")).withColumn("place", F.row_number().over(first))
-            .where(F.col("place") <= k + 1))
+
+    def scanned(probing: DataFrame) -> DataFrame:
+        """The best ``k + 1`` ids of each key in the lists that it probes."""
+        probing = probing.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        found = (probing.groupBy("list", "block").cogroup(indexed.groupBy("list", "block"))
+                 .applyInPandas(nearest, "key long, score double, ids array<long>"))
+        return (found.select("key", "score", F.explode("ids").alias("vec_id")).groupBy("key", "vec_id")
+                .agg(F.max("score").alias("score")).withColumn("place", F.row_number().over(first))
+                .where(F.col("place") <= k + 1).drop("place"))
+
+    best = stage(scanned(probing), "best")
+    full = best.groupBy("key").count().where(F.col("count") > k).select("key")
+    short = stage(asked.join(full, "key", "left_anti").select("key", "vec"), "short")
+    if not short.isEmpty():                          # too few ids in the probed lists: search all
+        every = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(lists - 1))))
+        best = best.join(short.select("key"), "key", "left_anti").unionByName(scanned(every))
     own = queries.select("vec", F.col("vec_id").alias("query_id"))
-    keys = queries.groupBy("vec").agg(F.min("vec_id").alias("key"))
     ranked = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
-    return (own.join(keys, "vec").drop("vec").join(best, "key").where(F.col("vec_id") != F.col("query_id"))
+    return (own.join(asked, "vec").drop("vec").join(best, "key").where(F.col("vec_id") != F.col("query_id"))
             .withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -67,3 +67,19 @@ def test_recall_on_the_small_table(spark):
     want = brute(rows, 50, 5)
     got = found(spark, rows, every=50)
     assert np.mean([len({j for j, _ in got[q]} & {j for j, _ in want[q]}) / 5 for q in want]) >= 0.9
+
+
+def test_every_query_gets_k_rows(spark):
+    """Outliers and groups of near copies have lists of their own, which hold fewer than k."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 24))[rng.integers(0, 40, 1500)] + 0.15 * rng.normal(size=(1500, 24))
+    x[::25] = 8 * rng.normal(size=(60, 24))                                        # outliers
+    for a in range(5, 1500, 100):                                                  # groups of 3
+        x[a:a + 3] = rng.normal(size=24) + 1e-4 * rng.normal(size=(3, 24))
+    rows = [(i, tuple(map(float, v.astype(np.float32))), "") for i, v in enumerate(x)]
+    rows += [(1500 + i, rows[25 * i][1], "") for i in range(2)]                    # an outlier given twice
+    want = brute(rows, 5, 5)
+    for least in (1, 48):                            # 1: the lists alone hold too few
+        got = found(spark, rows, list_rows=8, sample=1502, least_probes=least)
+        assert {q: len(near) for q, near in got.items()} == {q: 5 for q in want}
+    assert np.mean([len({j for j, _ in got[q]} & {j for j, _ in want[q]}) / 5 for q in want]) >= 0.9
