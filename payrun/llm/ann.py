@@ -6,7 +6,8 @@ others, both ways) is searched best-first to find the lists of a vector. A vecto
 near a boundary is replicated to every list almost as close as its nearest; a
 query always probes its nearest ``least_probes`` lists, and beyond them those within
 a distance ratio of its nearest list. A query for which these hold fewer than ``k``
-other ids searches all lists. Scores are exact cosines in double precision.
+other ids searches all lists. Scores are exact cosines in double precision, rounded
+to 12 decimals, so that equal directions tie; ties go to smaller ids.
 
 Rows with equal vectors share one posting. The posting carries their smallest
 ``k + 1`` ids: equal vectors score alike and ties go to smaller ids, so no other id
@@ -192,14 +193,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
         if len(left) and len(right):
             p = np.stack(right["vec"])
             p_norm = np.sqrt((p * p).sum(axis=1))
-            ids = right["ids"].to_numpy()
+            ids, smallest = right["ids"].to_numpy(), right["key"].to_numpy()
             for key, vec in zip(left["key"], left["vec"]):
-                rough = p @ vec / p_norm
-                top = np.argpartition(-rough, k + 8)[:k + 8] if len(p) > k + 8 else np.arange(len(p))
-                score = (p[top] * vec).sum(axis=1) / (np.sqrt((vec * vec).sum()) * p_norm[top])
-                out["key"] += [key] * len(top)
-                out["score"] += score.tolist()
-                out["ids"] += ids[top].tolist()
+                rough, norm = p @ vec / p_norm, np.sqrt((vec * vec).sum())
+                top = np.arange(len(p))
+                if len(p) > k + 1:                   # with all that may tie with the last place
+                    margin = norm * (2e-12 + 4 * len(vec) * np.finfo(float).eps)
+                    top = np.flatnonzero(rough >= np.partition(rough, -k - 1)[-k - 1] - margin)
+                score = np.round((p[top] * vec).sum(axis=1) / (norm * p_norm[top]), 12)
+                best = np.lexsort((smallest[top], -score))[:k + 1]
+                out["key"] += [key] * len(best)
+                out["score"] += score[best].tolist()
+                out["ids"] += ids[top[best]].tolist()
         out["ids"] = pd.Series(out["ids"], dtype=object)     # also where there are none
         return pd.DataFrame(out)
 

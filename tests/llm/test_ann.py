@@ -83,3 +83,18 @@ def test_every_query_gets_k_rows(spark):
         got = found(spark, rows, list_rows=8, sample=1502, least_probes=least)
         assert {q: len(near) for q, near in got.items()} == {q: 5 for q in want}
     assert np.mean([len({j for j, _ in got[q]} & {j for j, _ in want[q]}) / 5 for q in want]) >= 0.9
+
+
+def test_ties_beyond_the_block_cut_go_to_smaller_ids(spark):
+    """Binary vectors and multiples of one vector: many tie at the last place."""
+    rng = np.random.default_rng(4)
+    binary = {tuple(map(float, v)) for v in rng.integers(0, 2, (500, 9)) if v.any()}
+    one = rng.normal(size=9).astype(np.float32)
+    scaled = [tuple(map(float, m * one.astype(float))) for m in range(1, 60)]
+    vecs = sorted(binary) + scaled
+    rows = [(int(i), v, "") for i, v in zip(rng.permutation(len(vecs)), vecs)]
+    table = spark.createDataFrame(rows, SCHEMA.replace("float", "double"))
+    got = {}
+    for r in ann.search(table, F.col("vec_id") % 5 == 0, least_probes=99).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    same(got, brute(rows, 5, 5))
