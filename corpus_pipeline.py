@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows it is given; its
 result is written as Parquet and read again as the next stage's documents. All
-but the last return the columns of ``documents``.
+but the last return the columns of ``documents``. A stage that drops documents
+decides on each row by a key of its own: rows with a null doc_id, repeated rows and
+several texts under one doc_id are judged each by its own text.
 """
 
 from __future__ import annotations
@@ -25,15 +27,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies (5-word shingles, similarity 0.8) the document of
-    the smallest id stays."""
-    found = hamming_dedup.near_duplicates(docs, n=5)
-    return without(docs, found.where(~F.col("kept")).select("doc_id"))
+    the smallest id stays, one without an id only where none has one."""
+    rows = with_row_key(docs)
+    found = hamming_dedup.near_duplicates(rows, n=5, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    placed = written(found.join(rows.select(ROW, "doc_id"), ROW), "placed")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first"))
+    return without(rows, placed.select(ROW).join(first.select(f"first.{ROW}"), ROW, "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs, found.select("doc_id"))
+    rows = with_row_key(docs)
+    found = decontam.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW)
+    return without(rows, found.select(F.col("doc_id").alias(ROW)))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,13 +54,21 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, with_ids=True)
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is not among ``ids``; texts are shuffled only where the ids
-    are too many for a table in each task."""
-    ids = written(ids.where("doc_id is not null").distinct(), "dropped")
-    if ids.count() <= hamming_dedup.BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+ROW = "pipeline_row"
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """The documents with a key of each row, written so that every later read has the same."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Documents whose row key is not among ``dropped``; texts are shuffled only where
+    the keys are too many for a table in each task."""
+    dropped = written(dropped.distinct(), "dropped")
+    if dropped.count() <= hamming_dedup.BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    return rows.join(dropped, ROW, "left_anti").drop(ROW)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_copies), ("decontamination", drop_contaminated),

@@ -11,3 +11,20 @@ def test_empty_documents(spark):
         docs = stage(function(spark, docs, SF), name)
         assert docs.count() == 0
         assert name == "packing" or docs.columns == columns
+
+
+def kept(spark, function, rows):
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    out = stage(function(spark, docs, SF), "out")
+    assert out.columns == docs.columns
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+
+def test_null_and_repeated_ids_are_judged_by_row(spark):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(40)) for w in ("one", "two", "three", "four"))
+    got = kept(spark, P.drop_near_copies, [(None, a), (None, a), (9, a), (3, a + " more"), (5, b), (5, b), (5, c), (None, d), (None, d), (2, "")])
+    assert got == sorted([(3, a + " more"), (5, b), (5, c), (None, d), (2, "")], key=str)
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    got = kept(spark, P.drop_contaminated, [(None, f"{a} {passage} {b}"), (None, c), (7, a), (7, f"{b} {passage}"), (8, d), (8, d)])
+    assert got == sorted([(None, c), (7, a), (8, d), (8, d)], key=str)
