@@ -1,7 +1,9 @@
 """Step 1 and step 2 of a payment run, as single lazy plans.
 
 step 1: cleaned invoices -> rates (J4) -> D1-D6 -> area (J1-J3, D7) -> D8-D16
-step 2: a processed table (already derived or not) -> warehouse shape (P3-P11)
+step 2: a processed table (already derived or not) -> its rows with their rates;
+        the warehouse shape (P3-P11) and its load (K4) do not follow here, and
+        staged output as input is open
 
 Each function takes and returns DataFrames; nothing is collected. Batches
 are a column, so one plan handles every batch of a run together.

@@ -6,7 +6,8 @@ holds the rows of the newly landed sheets, and ``foreachBatch`` runs the
 same batch plan on them (grid -> header detection -> step 1) and appends
 the result to a table partitioned by batch. The checkpoint (in
 ``spark.checkpoint.dir`` unless given) records which files were done, so a
-restarted query neither skips nor repeats a sheet.
+restarted query skips no sheet; an epoch that is retried after its append
+repeats the sheet's rows (open).
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def start(spark: SparkSession, inbox: str, out: str, areas: DataFrame, rates: Da
     def process(batch: DataFrame, epoch: int) -> None:
         # Promoted rows land in a staging table first (S10): step 1 then
         # reads plain stored columns, and a retried epoch overwrites its own
-        # staging folder, so a lost executor never duplicates a sheet.
+        # staging folder. The append below is not undone by a retry (open).
         grid = numbered(batch.withColumn("_id", F.monotonically_increasing_id()))
         staging = os.path.join(ckpt, "staging", f"epoch={epoch}")
         H.promote_header(grid, rules).write.mode("overwrite").parquet(staging)
