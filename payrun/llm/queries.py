@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payrun.llm import ann, decontam, hamming_dedup, langid, packing, pii, suffix_index, toxicity, url_rules, warc
+from payrun.llm import (ann, decontam, fim, hamming_dedup, langid, packing, pii, piece_bpe, suffix_index, toxicity, url_rules,
+                        warc, whitening)
 from payrun.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +79,20 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    return whitening.by_component(whitening.whiten(vectors, model), model)
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents"))))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.transform(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline.py``, which stands beside the package."""
     import corpus_pipeline
@@ -87,7 +102,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {"op1_url_rules": op1_url_rules, "op2_toxicity": op2_toxicity, "op3_langid": op3_langid, "op4_packing": op4_packing, "op5_pii": op5_pii,
-            "op6_suffix_index": op6_suffix_index, "op7_ann": op7_ann, "op8_near_dups": op8_near_dups, "op9_warc": op9_warc, "op10_decontam": op10_decontam, "pipeline": pipeline}
+            "op6_suffix_index": op6_suffix_index, "op7_ann": op7_ann, "op8_near_dups": op8_near_dups, "op9_warc": op9_warc, "op10_decontam": op10_decontam, "op11_whitening": op11_whitening,
+            "op12_pieces": op12_pieces, "op13_fim": op13_fim, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
