@@ -34,6 +34,7 @@ from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SEED = 42
 FORM_RATE = 50          # per cent of documents that change their form ...
@@ -136,15 +137,18 @@ def by_document(records: Iterator) -> Iterator[tuple[bytes, tuple, Iterator[byte
 
 
 def transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED, form_rate: int = FORM_RATE,
-              spm_rate: int = SPM_RATE, chunk: int = 2048, with_text: bool = True, partitions: int | None = None) -> DataFrame:
+              spm_rate: int = SPM_RATE, chunk: int = 2048, with_text: bool = True, partition_bytes: int = 64 << 20) -> DataFrame:
     """One row per document: its form, the lengths of prefix and middle in code points
     (null where plain), the digests of the output and of the text rebuilt from it.
 
-    ``with_text`` adds both texts; without it no task ever holds an output whole.
-    ``partitions`` is ``spark.sql.shuffle.partitions`` unless given.
+    ``with_text`` adds both texts; without it no task ever holds an output whole. There
+    are as many partitions as Spark is set to shuffle into, or more where the texts would
+    come to more than ``partition_bytes`` in one (their bytes are added up first, as
+    nothing splits the partitions of a sorted shuffle later).
     """
     spark = docs.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(docs[text_col].cast("string")))).first()[0] or 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // partition_bytes))
 
     def emit(number: int, rows: Iterator) -> Iterator:
         seen: Counter = Counter()

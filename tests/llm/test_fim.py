@@ -58,6 +58,7 @@ def test_texts_are_shuffled_once(spark):
     docs = spark.createDataFrame([(i, "a b c d") for i in range(20)], "doc_id long, text string")
     lineage = fim.transform(docs).rdd.toDebugString().decode()
     assert lineage.count("PairwiseRDD") == 1
+    assert fim.transform(docs, partition_bytes=10).rdd.getNumPartitions() == 14       # 140 bytes of text
 
 
 def test_query_equals_the_contract(spark):
