@@ -14,10 +14,8 @@ def library():
     return piece_bpe.processor(piece_bpe.model_path())
 
 
-def ids_of(text):
-    ids = array("i")
-    piece_bpe.pieces_of(piece_bpe.model_path()).encode(text, ids)
-    return list(ids)
+def ids_of(text, pieces=None):
+    return list(array("i", next((pieces or piece_bpe.pieces_of(piece_bpe.model_path())).encode([text]))))
 
 
 def sha(text):
@@ -59,20 +57,27 @@ def test_backtracking_and_failed_positions():
     pick = random.Random(2)
     for _ in range(3000):
         text = "".join(pick.choices("aeinrst▁.o", k=pick.randint(1, 25)))
-        got, at = [], 0
-        for length in pieces.split(text):
-            got.append(text[at:at + length])
-            at += length
-        assert got == pieces.merged(text)
+        assert pieces.split(text) == pieces.merged(text)
+
+
+def test_many_parts_at_once():
+    """The arrays of positions give what one part at a time gives."""
+    pieces = piece_bpe.Pieces(piece_bpe.model_path())
+    pick = random.Random(3)
+    parts = ["".join(pick.choices("aeinrstxé▁.o(=\U0001F600" if k % 9 else "ab\n\U0001F600", k=pick.randint(1, 48))) for k in range(6000)]
+    got = pieces.split_many(parts)
+    assert sum(ids is None for ids in got) > 100                # characters that are no piece
+    assert [ids for ids in got if ids is not None] == [pieces.ids_of(p) for p, ids in zip(parts, got) if ids is not None]
 
 
 def test_full_tables_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(piece_bpe, "PAIR_BITS", 1)
     pieces = piece_bpe.Pieces(piece_bpe.model_path())
     monkeypatch.setattr(piece_bpe, "KEPT_PARTS", 3)
-    ids = array("i")
-    pieces.encode("these are words that do not fit into the small tables kept", ids)
-    assert list(ids) == library.encode("these are words that do not fit into the small tables kept")
-    assert len(pieces.kept) <= 3 and len(pieces.pairs) <= 3
+    monkeypatch.setattr(piece_bpe, "STEP", 2)               # parts longer than what is cut at once
+    for text in ["these are words that do not fit into the small tables kept", "  a  bc ", *ODD]:
+        assert ids_of(text, pieces) == library.encode(text)
+    assert len(pieces.kept) < 60 and len(pieces.older) < 60
 
 
 def test_models_with_other_rules_are_an_error():
