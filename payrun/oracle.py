@@ -444,4 +444,20 @@ def oracle_queries() -> dict[str, str]:
     q["dated_runs"] = plain + (f"SELECT batch_id, {day} AS run_date, {fname} AS file_name, "
                                f"'logs/' || {day} || '/' || batch_id || '/' || {fname} AS path, count(*) AS rows "
                                "FROM cl GROUP BY batch_id")
+    # sinks, and step 2 on what they wrote
+    q["staged_sheet"] = q["ordered_output"]
+    q["restaged_batches"] = full + ("SELECT batch_id, tipo_factura, count(*) AS rows FROM dv "
+                                    "WHERE batch_id <> 'batch-1' OR tipo_factura = 'A' GROUP BY ALL")
+    q["step2_shape"] = q["warehouse_shape"]
+    q["warehouse_load"] = full + f"SELECT {', '.join(_warehouse_select()[1:])} FROM dv"
+    q["load_report"] = full + """, n AS (SELECT count(*) AS n FROM dv)
+        SELECT step, load_id, mode, n AS rows_uploaded, n * times AS rows_in_table
+        FROM n, (VALUES (0, 'l1', 'empty', 1), (1, 'l2', 'append', 2), (2, 'l2', 'append', 2), (3, 'l3', 'append', 3),
+                        (4, 'l4', 'replace', 1)) m(step, load_id, mode, times)"""
+    stamp = f"strftime({local}, '%Y%m%d_%H%M%S')"
+    q["run_output"] = full + (f"SELECT {day} AS run_date, {stamp} AS run_stamp, batch_id, count(*) AS rows, 'detail' AS part FROM dv GROUP BY batch_id "
+                              f"UNION ALL SELECT {day}, {stamp}, NULL, 5 * count(*), 'rates' FROM rates "
+                              f"UNION ALL SELECT {day}, {stamp}, NULL, count(*), 'areas' FROM areas")
+    q["listing_totals"] = full + ("SELECT 1 AS total_fechas, count(DISTINCT batch_id) AS total_carpetas, 0 AS archivos_vacios, "
+                                  "true AS en_cada_carpeta FROM dv")
     return q

@@ -1,9 +1,8 @@
 """Step 1 and step 2 of a payment run, as single lazy plans.
 
 step 1: cleaned invoices -> rates (J4) -> D1-D6 -> area (J1-J3, D7) -> D8-D16
-step 2: a processed table (already derived or not) -> its rows with their rates;
-        the warehouse shape (P3-P11) and its load (K4) do not follow here, and
-        staged output as input is open
+step 2: a processed table (as staged by step 1, or not derived yet) -> its rows with
+        their rates -> the warehouse shape (P3-P11); payrun.sinks loads it (K4)
 
 Each function takes and returns DataFrames; nothing is collected. Batches
 are a column, so one plan handles every batch of a run together.
@@ -11,12 +10,14 @@ are a column, so one plan handles every batch of a run together.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .. import rules as R
 from ..operators import areas as A
 from ..operators import clean as C
 from ..operators import derive as D
+from ..operators import publish as P
 from ..operators import rates as RT
 from ..rules import DEFAULT_RULES, PayRules
 
@@ -52,6 +53,29 @@ def step1(invoices: DataFrame, areas: DataFrame, rates: DataFrame,
     return derive_all(df, areas, rules)
 
 
+def canonical_names() -> dict[str, str]:
+    """Every name that a sheet may give a column, without case, and the column it means."""
+    display = dict(R.DISPLAY_TO_COLUMN)
+    names = {c: c for c in (*R.INPUT_COLUMNS, *R.DERIVED_COLUMNS)}
+    names |= dict(R.HEADER_TO_COLUMN) | {old: display[new] for old, new in R.RENAME_OUTPUT} | display
+    return {name.casefold(): column for name, column in names.items()}
+
+
+def resolve_names(df: DataFrame) -> DataFrame:
+    """A sheet's display names (P1) as the package's names, at plan time.
+
+    Names are cleaned (C3) and compared without case. Unknown columns keep theirs; of
+    several columns that mean the same the first one counts.
+    """
+    known, taken, out = canonical_names(), set(), []
+    for i, name in enumerate(df.columns):
+        column = known.get(C.clean_name(name).casefold(), name)
+        if column not in taken:
+            taken.add(column)
+            out.append(F.col(f"_{i}").alias(column))
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))]).select(*out)
+
+
 def processed_already(df: DataFrame) -> bool:
     """The table has the derived columns (plan-time test, no job)."""
     return set(PROCESSED_MARKERS) <= set(df.columns)
@@ -61,12 +85,20 @@ def step2(table: DataFrame, areas: DataFrame, rates: DataFrame,
           rules: PayRules = DEFAULT_RULES, key: str = "batch_id") -> DataFrame:
     """Derive only when needed, then keep the rates on the rows.
 
-    A processed table is cleaned again (as the source does) and gets its
-    batch's stored rate snapshot (Q7: one snapshot per batch, not a new
-    fetch); a raw one goes through step 1.
+    A processed table (canonical or display names) is cleaned again, as the source
+    does, and gets its batch's stored rate snapshot (Q7: one snapshot per batch, not
+    a new fetch); a raw one goes through step 1.
     """
+    table = resolve_names(table)
     if processed_already(table):
         df = C.clean(table, rules)
         return RT.attach_rates(df.drop(*[c for c in R.RATE_COLUMNS if c in df.columns]),
                                rates, key, rules)
     return step1(table, areas, rates, rules, key)
+
+
+def step2_shape(table: DataFrame, areas: DataFrame, rates: DataFrame, run_ts: Column | None = None,
+                rules: PayRules = DEFAULT_RULES) -> DataFrame:
+    """Step 2 to its end: the warehouse shape (P3-P11) of a sheet as step 1 staged it, or
+    of a raw one. ``sinks.warehouse.load`` loads it, ``sinks.files.write_run`` keeps it."""
+    return P.warehouse_shape(step2(table, areas, rates, rules), run_ts, rules)

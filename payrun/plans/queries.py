@@ -22,8 +22,12 @@ from ..operators import header as H
 from ..operators import publish as P
 from ..operators import rates as RT
 from ..operators import summary as S
+from ..session import scratch_path, stored
+from ..sinks import files as SF
+from ..sinks import warehouse as WH
 from ..sources import fixtures as FX
 from ..sources import listing as LS
+from ..sources import sheets as SH
 from . import pipeline
 
 # Fixed run time used by every compared query (P9): results must repeat.
@@ -272,10 +276,85 @@ def q_dated_runs(spark, sf):
     return P.dated_runs(batches, run_ts(), keep=("rows",))
 
 
+# -- sinks (K1, K3-K6, K8, A11) and step 2 on what they wrote (C9, S10) -----------------
+
+def staged(spark, sf) -> DataFrame:
+    """Step 1's processed sheet, written to staging and read again."""
+    path = scratch_path(spark, "staging")
+    SF.write_staging(P.processed_sheet(derived(spark, sf)), path)
+    return SH.read_staging(spark, path)
+
+
+def q_staged_sheet(spark, sf):
+    return staged(spark, sf)
+
+
+def q_restaged_batches(spark, sf):
+    """K6: all batches are staged, then one of them again with fewer rows."""
+    sheet = stored(P.processed_sheet(derived(spark, sf)), "sheet")
+    path = scratch_path(spark, "staging")
+    SF.write_staging(sheet, path)
+    SF.write_staging(sheet.where((F.col("batch_id") == "batch-1") & (F.col("`Tipo factura`") == "A")), path)
+    return SH.read_staging(spark, path).groupBy("batch_id", F.col("`Tipo factura`").alias("tipo_factura")).agg(F.count("*").alias("rows"))
+
+
+def q_step2_shape(spark, sf):
+    """Step 2 on step 1's own output, up to the warehouse shape."""
+    return pipeline.step2_shape(staged(spark, sf), FX.areas(spark, sf), batch_rates(spark, sf), run_ts())
+
+
+def warehouse_name(spark) -> str:
+    return "payrun_" + scratch_path(spark, "").rstrip("/").rsplit("-", 1)[1]
+
+
+def q_warehouse_load(spark, sf):
+    """K4: the table's rows after a load."""
+    name = warehouse_name(spark)
+    WH.load(P.warehouse_shape(derived(spark, sf), run_ts()), name, "empty")
+    return spark.table(name)
+
+
+def q_load_report(spark, sf):
+    """What each mode reports, one after the other on one table."""
+    rows, name = stored(P.warehouse_shape(derived(spark, sf), run_ts()), "shape"), warehouse_name(spark)
+    report = None
+    for step, (mode, load) in enumerate([("empty", "l1"), ("append", "l2"), ("append", "l2"), ("append", "l3"), ("replace", "l4")]):
+        one = WH.load(rows, name, mode, load).select(F.lit(step).alias("step"), "load_id", "mode", "rows_uploaded", "rows_in_table")
+        report = one if report is None else report.unionByName(one)
+    return report
+
+
+def run_root(spark, sf) -> str:
+    """A run written to the dated output (K5, K3, K8)."""
+    root = scratch_path(spark, "logs")
+    SF.write_run(P.processed_sheet(derived(spark, sf)), batch_rates(spark, sf), FX.areas(spark, sf), root, run_ts())
+    return root
+
+
+def q_run_output(spark, sf):
+    """K5, K3, K8: rows of each part of a run by its folders."""
+    root = run_root(spark, sf)
+    parts = [SF.read_folders(spark, f"{root}/{part}").groupBy("run_date", "run_stamp", *(["batch_id"] if part == "detail" else []))
+             .agg(F.count("*").alias("rows")).withColumn("part", F.lit(part)) for part in ("detail", "rates", "areas")]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+
+
 # -- listing (S8, A8, A9, O1) -------------------------------------------------------
 
 def q_files_by_date(spark, sf):
-    return LS.files_by_date(LS.list_files(spark, sf))
+    """A8, O1 over the files that a run wrote."""
+    return LS.files_by_date(LS.list_files(spark, run_root(spark, sf) + "/detail"))
+
+
+def q_listing_totals(spark, sf):
+    """A9, S8, F6 over the files that a run wrote: the folders they lie in are known
+    from the rows, how many files a folder has is Spark's choice."""
+    files = LS.list_files(spark, run_root(spark, sf) + "/detail")
+    totals = LS.listing_totals(files)
+    folders = files.agg(F.count_distinct(F.regexp_extract("path", "(.*)/", 1)).alias("total_carpetas"),
+                        F.count_if(F.col("bytes") == 0).alias("archivos_vacios"))
+    return totals.crossJoin(folders).select("total_fechas", "total_carpetas", "archivos_vacios",
+                                            (F.col("total_archivos") >= F.col("total_carpetas")).alias("en_cada_carpeta"))
 
 
 # -- flagship (blueprint 7.2) -------------------------------------------------------
@@ -328,6 +407,13 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_records": q_json_records,
         "rates_report": q_rates_report,
         "dated_runs": q_dated_runs,
+        "staged_sheet": q_staged_sheet,
+        "restaged_batches": q_restaged_batches,
+        "step2_shape": q_step2_shape,
+        "warehouse_load": q_warehouse_load,
+        "load_report": q_load_report,
+        "run_output": q_run_output,
         "files_by_date": q_files_by_date,
+        "listing_totals": q_listing_totals,
     })
     return reg

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "payrun") -> SparkSession:
@@ -32,11 +33,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only
-    when none is configured (local runs and tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only where none is
+    configured and the session is one local process (tests, local runs)."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         d = tempfile.mkdtemp(prefix="payrun-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other run uses."""
+    return f"{ensure_checkpoint_dir(spark)}/payrun-{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: what reads it several times
+    computes it once, and a lost executor costs no more than the read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

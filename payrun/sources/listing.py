@@ -1,6 +1,6 @@
 """Listing stored run outputs by date folder.
 
-Outputs of step 2 land under ``<root>/<run_date>/...`` (K5). The listing
+Outputs of step 2 land under ``<root>/<date>/...`` or ``<root>/run_date=<date>/...`` (K5). The listing
 reads file metadata only (``binaryFile`` with the ``content`` column pruned,
 so no file body is read), takes the date from the first folder under the
 root (``sin_fecha`` when there is none) and groups per date.
@@ -27,7 +27,8 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return files.where(~F.col("path").endswith("/")).select(
         rel.alias("path"),
         F.element_at(parts, -1).alias("nombre"),
-        F.when(F.size(parts) >= 2, F.get(parts, 0)).otherwise(F.lit(R.NO_DATE_FOLDER)).alias("fecha"),
+        F.when(F.size(parts) >= 2, F.regexp_replace(F.get(parts, 0), "^run_date=", ""))
+        .otherwise(F.lit(R.NO_DATE_FOLDER)).alias("fecha"),
         F.coalesce(F.col("length"), F.lit(0)).alias("bytes"),
         F.round(F.coalesce(F.col("length"), F.lit(0)) / F.lit(1048576.0), 2).alias("tamano_mb"),
         dates.iso_text(F.col("modificationTime")).alias("actualizado"),

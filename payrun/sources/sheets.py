@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.files import read_folders
+
 SHEET_GLOB = "*.{csv,CSV}"
 
 
@@ -92,6 +94,6 @@ def read_areas(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
                       F.col(f"`{c0}`").alias("codigo"), F.col(f"`{c1}`").alias("area"))
 
 
-def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    """A processed table written by step 1, read back for step 2."""
-    return spark.read.parquet(path)
+def read_staging(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A processed table written by step 1, read back for step 2 (display names)."""
+    return read_folders(spark, path, fmt)

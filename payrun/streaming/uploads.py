@@ -3,11 +3,11 @@
 The source system processes one uploaded sheet per request. Here the
 upload folder is a Structured Streaming file source: every micro-batch
 holds the rows of the newly landed sheets, and ``foreachBatch`` runs the
-same batch plan on them (grid -> header detection -> step 1) and appends
-the result to a table partitioned by batch. The checkpoint (in
+same batch plan on them (grid -> header detection -> step 1) and writes
+the result into a table partitioned by batch. The checkpoint (in
 ``spark.checkpoint.dir`` unless given) records which files were done, so a
-restarted query skips no sheet; an epoch that is retried after its append
-repeats the sheet's rows (open).
+restarted query skips no sheet. A write replaces the batches it holds and no
+others, so an epoch that is retried, or a sheet that lands again, never repeats rows.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..operators import header as H
 from ..plans import pipeline
 from ..rules import DEFAULT_RULES, PayRules
+from ..sinks.files import write_folders
 from ..sources.sheets import CSV_OPTIONS, SHEET_GLOB, numbered, sheet_rows, wide_schema
 
 
@@ -38,14 +39,14 @@ def start(spark: SparkSession, inbox: str, out: str, areas: DataFrame, rates: Da
 
     def process(batch: DataFrame, epoch: int) -> None:
         # Promoted rows land in a staging table first (S10): step 1 then
-        # reads plain stored columns, and a retried epoch overwrites its own
-        # staging folder. The append below is not undone by a retry (open).
+        # reads plain stored columns. A retried epoch overwrites its own
+        # staging folder and its own batches in the output.
         grid = numbered(batch.withColumn("_id", F.monotonically_increasing_id()))
         staging = os.path.join(ckpt, "staging", f"epoch={epoch}")
         H.promote_header(grid, rules).write.mode("overwrite").parquet(staging)
         named = spark.read.parquet(staging).drop("row_idx")
         derived = pipeline.step1(named, areas, rates, rules)
-        derived.write.mode("append").partitionBy("batch_id").parquet(out)
+        write_folders(derived, out, ("batch_id",))
 
     writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     if trigger_once:
