@@ -16,25 +16,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules as R
 from ..functions import text
 from ..rules import DEFAULT_RULES, PayRules
 
 QUOTE_MAP = "map<string,string>"
 QUOTE_LIST = "array<map<string,string>>"
 
-RATE_FIELDS = ("ves", "ves_thursday", "eur", "cop", "ves_source", "ves_date",
-               "ves_is_default", "eur_is_default", "cop_is_default")
+PAIRS = ("ves", "cop", "eur")
+RATE_FIELDS = ("ves", "ves_thursday", "eur", "cop", *(f"{p}_{f}" for f in ("source", "date", "fetched_at", "is_default", "answered")
+                                                     for p in PAIRS))
 
 
 # -- S4: VES quote lists -------------------------------------------------------
 
+def quote_list(payload: Column) -> Column:
+    """The quotes of an answer: a JSON list, or one landed quote object.
+
+    Null where the answer is broken, holds something else than objects, or a quote
+    whose name is null: reading such an answer fails as a whole in the source.
+    """
+    quotes = F.coalesce(F.from_json(payload, QUOTE_LIST), F.array(F.from_json(payload, QUOTE_MAP)))
+    sound = F.forall(quotes, lambda q: q.isNotNull() & ~(F.map_contains_key(q, "nombre") & q["nombre"].isNull()))
+    return F.when(sound, quotes)
+
+
+def best_in_answer(quotes: Column, pos: Column) -> Column:
+    """R1 + R2 inside one answer, a fold over its list: the order of the best quote
+    among all answers of a key, and that quote.
+
+    ``c`` is the class (official first); among official or parallel quotes the last one
+    of the last answer is best, among others the first one of the first answer.
+    """
+    def order(q: Column, i: Column) -> Column:
+        cls = quote_class(q["nombre"])
+        turn = F.when(cls == 2, F.lit(-1)).otherwise(F.lit(1))
+        return F.struct((-cls).alias("c"), (turn * pos).alias("p"), (turn * i).alias("i"))
+
+    none = F.lit(None).cast("struct<c:int,p:bigint,i:int>")
+    orders = F.transform(quotes, order)
+    best = F.aggregate(orders, none, lambda kept, o: F.when(kept.isNull() | (o > kept), o.cast("struct<c:int,p:bigint,i:int>")).otherwise(kept))
+    found = F.transform(F.array(best), lambda o: F.struct(o.alias("order"), F.get(quotes, F.abs(o["i"])).alias("quote")))
+    return F.get(F.filter(found, lambda f: F.size(F.map_keys(f["quote"])) > 0), F.lit(0))
+
+
 def explode_quote_list(df: DataFrame, keys: list[str], payload: str = "payload") -> DataFrame:
-    """One row per quote of a JSON list: ``keys..., pos, quote``.
+    """One row per quote of an answer: ``keys..., pos, quote``.
 
-    Broken JSON or a non-list answer yields no quotes (default rate later).
+    A broken answer yields no quotes (default rate later).
     """
-    parsed = F.from_json(F.col(payload), QUOTE_LIST)
-    return df.select(*keys, F.posexplode(parsed).alias("pos", "quote"))
+    return df.select(*keys, F.posexplode(quote_list(F.col(payload))).alias("pos", "quote"))
 
 
 def quote_class(name: Column) -> Column:
@@ -113,10 +144,10 @@ def cop_value(payload: Column) -> Column:
     return cop_value_of_quote(cop_quote(payload))
 
 
-def cop_source(payload: Column) -> Column:
-    q = cop_quote(payload)
-    return F.when(F.map_contains_key(q, "nombre"), q["nombre"]) \
-        .when(F.map_contains_key(q, "fuente"), q["fuente"])
+def cop_source(q: Column) -> Column:
+    """Who gave a parsed COP quote."""
+    return (F.when(F.map_contains_key(q, "nombre"), q["nombre"])
+            .when(F.map_contains_key(q, "fuente"), q["fuente"]).otherwise(F.lit(R.COP_SOURCE)))
 
 
 # -- S6: EUR at rates.USD ------------------------------------------------------
@@ -129,67 +160,88 @@ def eur_value(payload: Column) -> Column:
     return F.when(ok, usd)
 
 
-# -- R5/R6: defaults and the Thursday rate ------------------------------------------
+# -- R5/R6/R7: defaults, the Thursday rate, where a rate comes from -----------------------
 
 def rates_from_quotes(df: DataFrame, keys: list[str], rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """R3-R7 over one row per key holding ``ves_quote`` (map), ``cop_payload``
-    and ``eur_payload`` (text); missing parts give defaults.
+    """R3-R7 over one row per key holding ``ves_quote`` (map), ``cop_payload`` and
+    ``eur_payload`` (text) and ``*_fetched_at``; missing parts give defaults.
+
+    A rate is answered where its answer could be read, and a default where it was not
+    answered or reads as 0: source, date and time of an answered rate are kept even
+    where its value is not used.
 
-    Built in three projections over named intermediate columns: a parsed
-    value read several times stays one column instead of being copied into
-    every expression that uses it (keeps plans small for the optimizer).
+    Built in projections over named intermediate columns: a parsed value read several
+    times stays one column instead of being copied into every expression that uses it
+    (keeps plans small for the optimizer).
     """
+    times = [f"{p}_fetched_at" for p in PAIRS]
     parsed = df.select(
-        *keys, "ves_quote",
+        *keys, "ves_quote", *times,
         ves_value(F.col("ves_quote")).alias("_ves"),
         eur_value(F.col("eur_payload")).alias("_eur"),
         cop_quote(F.col("cop_payload")).alias("_cop_q"),
+        F.get_json_object("eur_payload", "$.date").alias("_eur_date"),
     )
-    valued = parsed.select(*keys, "ves_quote", "_ves", "_eur",
-                           cop_value_of_quote(F.col("_cop_q")).alias("_cop"))
+    valued = parsed.select("*", cop_value_of_quote(F.col("_cop_q")).alias("_cop"))
     flags = valued.select(
-        *keys, "ves_quote", "_ves", "_eur", "_cop",
-        *[(F.coalesce(F.col(f"_{k}"), F.lit(0.0)) == 0).alias(f"{k}_is_default") for k in ("ves", "eur", "cop")],
+        "*", F.col("ves_quote").isNotNull().alias("ves_answered"), F.col("_cop").isNotNull().alias("cop_answered"),
+        (F.coalesce("_eur", F.lit(0.0)) != 0).alias("eur_answered"),
+        *[(F.coalesce(F.col(f"_{k}"), F.lit(0.0)) == 0).alias(f"{k}_is_default") for k in PAIRS],
     )
     defaults = {"ves": rules.default_ves_rate, "eur": rules.default_eur_rate, "cop": rules.default_cop_rate}
     rated = flags.select(
         "*", *[F.when(F.col(f"{k}_is_default"), F.lit(float(d))).otherwise(F.col(f"_{k}")).alias(k)
                for k, d in defaults.items()])
-    q = F.col("ves_quote")
+    q, c = F.col("ves_quote"), F.col("_cop_q")
+    sources = {"ves": F.when(F.map_contains_key(q, "nombre"), q["nombre"]).otherwise(F.lit(R.VES_SOURCE)),
+               "cop": cop_source(c), "eur": F.lit(R.EUR_SOURCE)}
+    stated = {"ves": F.when(F.map_contains_key(q, "fechaActualizacion"), q["fechaActualizacion"]),
+              "cop": F.when(F.map_contains_key(c, "fechaActualizacion"), c["fechaActualizacion"]), "eur": F.col("_eur_date")}
     return rated.select(
         *keys, "ves",
         (F.col("ves") + F.lit(float(rules.thursday_margin))).alias("ves_thursday"),
         "eur", "cop",
-        F.when(F.col("ves_is_default"), F.lit("default")).otherwise(q["nombre"]).alias("ves_source"),
-        F.when(F.col("ves_is_default"), F.lit(None).cast("string")).otherwise(q["fechaActualizacion"]).alias("ves_date"),
-        "ves_is_default", "eur_is_default", "cop_is_default",
+        *[F.when(F.col(f"{k}_answered"), sources[k]).otherwise(F.lit("default")).alias(f"{k}_source") for k in PAIRS],
+        *[F.when(F.col(f"{k}_answered"), F.coalesce(stated[k], F.date_format(f"{k}_fetched_at", "yyyy-MM-dd"))).alias(f"{k}_date")
+          for k in PAIRS],
+        *times, *[f"{k}_is_default" for k in PAIRS], *[f"{k}_answered" for k in PAIRS],
     )
 
 
 def snapshot_from_quote_rows(quotes: DataFrame, keys: list[str],
                              rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """S7 in one pass: ``quotes(keys..., pos, pair, payload)`` -> rates.
+    """S7 in one pass: ``quotes(keys..., pos, pair, payload[, fetched_at])`` -> rates.
 
-    Each row is one fetched answer: VES rows hold one quote object, COP and
-    EUR rows a whole answer. Per key: the R2 pick among VES quotes, and the
-    latest COP and EUR answers. One partial aggregate, then R3-R7.
+    Each row is one fetched answer: a VES row holds a list of quotes or one landed
+    quote, COP and EUR rows a whole answer. Per key: the R2 pick among the quotes of all
+    VES answers, and the latest COP and EUR answers. Lists are folded inside their row
+    and one partial aggregate follows (no row per quote is made), then R3-R7.
     """
-    q = F.from_json(F.col("payload"), QUOTE_MAP)
+    if "fetched_at" not in quotes.columns:
+        quotes = quotes.withColumn("fetched_at", F.lit(None).cast("timestamp"))
     is_ves, is_cop, is_eur = (F.col("pair") == p for p in ("VES", "COP", "EUR"))
-    ves_key = F.when(is_ves, pick_order(quote_class(q["nombre"]), F.col("pos")))
-    agg = quotes.groupBy(*keys).agg(
-        F.max_by(F.when(is_ves, q), ves_key).alias("ves_quote"),
-        F.max_by(F.when(is_cop, F.col("payload")), F.when(is_cop, F.col("pos"))).alias("cop_payload"),
-        F.max_by(F.when(is_eur, F.col("payload")), F.when(is_eur, F.col("pos"))).alias("eur_payload"),
+    read = quotes.select(*keys, "pos", "pair", "payload", "fetched_at",
+                         F.when(is_ves, best_in_answer(quote_list(F.col("payload")), F.col("pos").cast("long"))).alias("_best"))
+    best, order = F.col("_best"), F.col("_best")["order"]
+
+    def latest(value: str, rows: Column) -> Column:
+        return F.max_by(F.when(rows, F.col(value)), F.when(rows, F.col("pos")))
+
+    agg = read.groupBy(*keys).agg(
+        F.max_by(best["quote"], order).alias("ves_quote"),
+        latest("payload", is_cop).alias("cop_payload"),
+        latest("payload", is_eur).alias("eur_payload"),
+        F.coalesce(F.max_by(F.when(best.isNotNull(), F.col("fetched_at")), order), latest("fetched_at", is_ves)).alias("ves_fetched_at"),
+        latest("fetched_at", is_cop).alias("cop_fetched_at"),
+        latest("fetched_at", is_eur).alias("eur_fetched_at"),
     )
     return rates_from_quotes(agg, keys, rules)
 
 
 def rates_collected(quotes: DataFrame, keys: list[str]) -> DataFrame:
-    """How many of the three rates were obtained per key."""
+    """How many of the three rates were answered per key, used or not."""
     r = snapshot_from_quote_rows(quotes, keys)
-    ok = [(~F.col(c)).cast("int") for c in ("ves_is_default", "cop_is_default", "eur_is_default")]
-    return r.select(*keys, (ok[0] + ok[1] + ok[2]).alias("rates_ok"))
+    return r.select(*keys, sum((F.col(f"{k}_answered").cast("int") for k in PAIRS), F.lit(0)).alias("rates_ok"))
 
 
 def default_rates(df_keys: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:

@@ -83,8 +83,25 @@ def cleaned_cte() -> str:
             f"cl AS (SELECT * FROM tok WHERE NOT ({all_null}) AND NOT {summary_test('numero_factura')})")
 
 
-def rates_ctes(key: str, p: str = "") -> str:
-    """R1-R7 from ``quotes`` per ``key`` -> CTE ``{p}rates`` (CTE names prefixed)."""
+VES_SOURCE, COP_SOURCE, EUR_SOURCE = "DolarAPI Venezuela", "DolarAPI Colombia", "Frankfurter API (ECB)"
+
+
+def list_quotes_cte(key: str, cls: str, p: str, src: str) -> str:
+    """The quote that each list answer stands for -> ``{p}vq``; ``{p}lq`` has all quotes of sound answers."""
+    return f"""
+{p}el AS (SELECT {key}, pos, fetched_at, unnest(l) AS e, generate_subscripts(l, 1) - 1 AS i FROM (
+        SELECT {key}, pos, fetched_at, json_extract(payload, '$[*]') AS l FROM {src}
+        WHERE pair = 'VES' AND json_valid(payload) AND json_type(CASE WHEN json_valid(payload) THEN payload END) = 'ARRAY')),
+{p}lq AS (SELECT {key}, pos, fetched_at, i, e::VARCHAR AS payload, json_extract_string(e, '$.nombre') AS nombre FROM (
+        SELECT *, max(CASE WHEN json_type(e) <> 'OBJECT' OR json_type(e, '$.nombre') = 'NULL' THEN 1 ELSE 0 END) OVER (PARTITION BY {key}, pos) AS broken FROM {p}el)
+        WHERE broken = 0),
+{p}vq AS (SELECT {key}, pos, fetched_at, payload, nombre FROM (
+        SELECT *, row_number() OVER (PARTITION BY {key}, pos ORDER BY {cls}, CASE WHEN {cls} = 2 THEN i ELSE -i END) AS k FROM {p}lq)
+        WHERE k = 1 AND payload <> '{{}}'),"""
+
+
+def rates_ctes(key: str, p: str = "", src: str = "quotes", lists: bool = False) -> str:
+    """R1-R7 from ``src`` per ``key`` -> CTE ``{p}rates`` (CTE names prefixed)."""
     cls = ("(CASE WHEN contains(lower(coalesce(nombre, '')), 'bcv') OR contains(lower(coalesce(nombre, '')), 'oficial') "
            "THEN 0 WHEN contains(lower(coalesce(nombre, '')), 'paralelo') THEN 1 ELSE 2 END)")
     prom = "json_exists(payload, '$.promedio')"
@@ -108,35 +125,50 @@ def rates_ctes(key: str, p: str = "") -> str:
     eur_ok = f"({eur_amount} IS NULL OR {num_text(eur_amount)} IS NOT NULL)"
     eur_val = f"(CASE WHEN ep IS NOT NULL AND {eur_ok} THEN {eur_usd} END)"
     margin = float(R.THURSDAY_MARGIN)
-    return f"""
-{p}vq AS (SELECT {key}, pos, payload, json_extract_string(payload, '$.nombre') AS nombre
-       FROM quotes WHERE pair = 'VES'),
-{p}vpick AS (SELECT {key}, pos, payload, nombre,
+    vq = list_quotes_cte(key, cls, p, src) if lists else f"""
+{p}vq AS (SELECT {key}, pos, fetched_at, payload, json_extract_string(payload, '$.nombre') AS nombre
+       FROM {src} WHERE pair = 'VES'),"""
+
+    def source(k: str, v: str) -> str:
+        return f"CASE WHEN {k}_answered THEN {v} ELSE 'default' END AS {k}_source"
+
+    def date(k: str, v: str) -> str:
+        return f"CASE WHEN {k}_answered THEN coalesce({v}, strftime({k}_at, '%Y-%m-%d')) END AS {k}_date"
+
+    return vq + f"""
+{p}vpick AS (SELECT {key}, pos, payload, nombre, fetched_at,
           row_number() OVER (PARTITION BY {key} ORDER BY {cls}, CASE WHEN {cls} = 2 THEN pos ELSE -pos END) AS rn
           FROM {p}vq),
-{p}ves AS (SELECT {key}, {ves_val} AS v, nombre, json_extract_string(payload, '$.fechaActualizacion') AS fecha
+{p}ves AS (SELECT {key}, {ves_val} AS v, coalesce(nombre, {lit(VES_SOURCE)}) AS nombre, fetched_at,
+        json_extract_string(payload, '$.fechaActualizacion') AS fecha
         FROM {p}vpick WHERE rn = 1),
-{p}copl AS (SELECT {key}, CASE WHEN json_valid(p) THEN p END AS cp FROM (
-          SELECT {key}, arg_max(payload, pos) AS p FROM quotes WHERE pair = 'COP' GROUP BY {key})),
-{p}cop AS (SELECT {key}, {cop_val} AS v FROM (
-          SELECT {key}, CASE WHEN json_type(cp) = 'ARRAY' THEN json_extract(cp, '$[0]')::VARCHAR ELSE cp END AS cq
+{p}copl AS (SELECT {key}, seen, CASE WHEN json_valid(p) THEN p END AS cp FROM (
+          SELECT {key}, arg_max(payload, pos) AS p, arg_max(fetched_at, pos) AS seen FROM {src} WHERE pair = 'COP' GROUP BY {key})),
+{p}cop AS (SELECT {key}, seen, {cop_val} AS v, json_extract_string(cq, '$.fechaActualizacion') AS fecha,
+          coalesce(json_extract_string(cq, '$.nombre'), json_extract_string(cq, '$.fuente'), {lit(COP_SOURCE)}) AS nombre FROM (
+          SELECT {key}, seen, CASE WHEN json_type(cp) = 'ARRAY' THEN json_extract(cp, '$[0]')::VARCHAR ELSE cp END AS cq
           FROM {p}copl)),
-{p}eurl AS (SELECT {key}, CASE WHEN json_valid(p) THEN p END AS ep FROM (
-          SELECT {key}, arg_max(payload, pos) AS p FROM quotes WHERE pair = 'EUR' GROUP BY {key})),
-{p}eur AS (SELECT {key}, {eur_val} AS v FROM {p}eurl),
-{p}keys AS (SELECT DISTINCT {key} FROM quotes),
+{p}eurl AS (SELECT {key}, seen, CASE WHEN json_valid(p) THEN p END AS ep FROM (
+          SELECT {key}, arg_max(payload, pos) AS p, arg_max(fetched_at, pos) AS seen FROM {src} WHERE pair = 'EUR' GROUP BY {key})),
+{p}eur AS (SELECT {key}, seen, {eur_val} AS v, json_extract_string(ep, '$.date') AS fecha FROM {p}eurl),
+{p}keys AS (SELECT {key}, arg_max(fetched_at, pos) FILTER (WHERE pair = 'VES') AS seen FROM {src} GROUP BY {key}),
+{p}joined AS (SELECT k.{key}, ves.v AS ves_v, cop.v AS cop_v, eur.v AS eur_v, ves.nombre AS ves_n, cop.nombre AS cop_n,
+  ves.fecha AS ves_f, cop.fecha AS cop_f, eur.fecha AS eur_f, coalesce(ves.fetched_at, k.seen) AS ves_at, cop.seen AS cop_at, eur.seen AS eur_at,
+  ves.nombre IS NOT NULL AS ves_answered, cop.v IS NOT NULL AS cop_answered, coalesce(eur.v, 0) <> 0 AS eur_answered
+ FROM {p}keys k LEFT JOIN {p}ves ves USING ({key}) LEFT JOIN {p}cop cop USING ({key}) LEFT JOIN {p}eur eur USING ({key})),
 {p}rates AS (
- SELECT k.{key},
-  CASE WHEN coalesce(ves.v, 0) = 0 THEN {R.DEFAULT_VES_RATE:.2f}E0 ELSE ves.v END AS ves,
-  CASE WHEN coalesce(ves.v, 0) = 0 THEN {R.DEFAULT_VES_RATE:.2f}E0 ELSE ves.v END + {margin}E0 AS ves_thursday,
-  CASE WHEN coalesce(eur.v, 0) = 0 THEN {R.DEFAULT_EUR_RATE:.2f}E0 ELSE eur.v END AS eur,
-  CASE WHEN coalesce(cop.v, 0) = 0 THEN {R.DEFAULT_COP_RATE!r}E0 ELSE cop.v END AS cop,
-  CASE WHEN coalesce(ves.v, 0) = 0 THEN 'default' ELSE ves.nombre END AS ves_source,
-  CASE WHEN coalesce(ves.v, 0) = 0 THEN NULL ELSE ves.fecha END AS ves_date,
-  coalesce(ves.v, 0) = 0 AS ves_is_default,
-  coalesce(eur.v, 0) = 0 AS eur_is_default,
-  coalesce(cop.v, 0) = 0 AS cop_is_default
- FROM {p}keys k LEFT JOIN {p}ves ves USING ({key}) LEFT JOIN {p}cop cop USING ({key}) LEFT JOIN {p}eur eur USING ({key}))"""
+ SELECT {key},
+  CASE WHEN coalesce(ves_v, 0) = 0 THEN {R.DEFAULT_VES_RATE:.2f}E0 ELSE ves_v END AS ves,
+  CASE WHEN coalesce(ves_v, 0) = 0 THEN {R.DEFAULT_VES_RATE:.2f}E0 ELSE ves_v END + {margin}E0 AS ves_thursday,
+  CASE WHEN coalesce(eur_v, 0) = 0 THEN {R.DEFAULT_EUR_RATE:.2f}E0 ELSE eur_v END AS eur,
+  CASE WHEN coalesce(cop_v, 0) = 0 THEN {R.DEFAULT_COP_RATE!r}E0 ELSE cop_v END AS cop,
+  {source('ves', 'ves_n')}, {source('cop', 'cop_n')}, {source('eur', lit(EUR_SOURCE))},
+  {date('ves', 'ves_f')}, {date('cop', 'cop_f')}, {date('eur', 'eur_f')}, ves_at, cop_at, eur_at,
+  ves_answered, cop_answered, eur_answered,
+  coalesce(ves_v, 0) = 0 AS ves_is_default,
+  coalesce(eur_v, 0) = 0 AS eur_is_default,
+  coalesce(cop_v, 0) = 0 AS cop_is_default
+ FROM {p}joined)"""
 
 
 def lookup_cte() -> str:
@@ -400,13 +432,20 @@ def oracle_queries() -> dict[str, str]:
     q["eur_from_json"] = days + (f"SELECT snap, pos, {eur_val} AS eur FROM (SELECT snap, pos, "
                                  "CASE WHEN json_valid(payload) THEN payload END AS ep FROM quotes WHERE pair = 'EUR')")
     cop_body = rates_ctes("snap", "x_")
-    cop_val = cop_body[cop_body.index("x_cop AS (SELECT snap, ") + len("x_cop AS (SELECT snap, "):cop_body.index(" AS v FROM (\n")]
+    start = cop_body.index("x_cop AS (SELECT snap, seen, ") + len("x_cop AS (SELECT snap, seen, ")
+    cop_val = cop_body[start:cop_body.index(" AS v, json_extract_string(cq", start)]
     q["cop_object_or_list"] = days + (f"SELECT snap, pos, {cop_val} AS cop FROM (SELECT snap, pos, "
                                       "CASE WHEN json_type(cp) = 'ARRAY' THEN json_extract(cp, '$[0]')::VARCHAR ELSE cp END AS cq "
                                       "FROM (SELECT snap, pos, CASE WHEN json_valid(payload) THEN payload END AS cp "
                                       "FROM quotes WHERE pair = 'COP'))")
-    q["rates_collected"] = days + ("SELECT snap, CAST(NOT ves_is_default AS INTEGER) + CAST(NOT cop_is_default AS INTEGER) "
-                                   "+ CAST(NOT eur_is_default AS INTEGER) AS rates_ok FROM d_rates")
+    collected = "SELECT snap, CAST(ves_answered AS INTEGER) + CAST(cop_answered AS INTEGER) + CAST(eur_answered AS INTEGER) AS rates_ok FROM "
+    q["rates_collected"] = days + collected + "d_rates"
+    answers = "WITH " + ",\n".join([f"answers AS ({FX.answers_sql(FX.duck_refs())})",
+                                    rates_ctes("snap", "a_", "answers", lists=True).strip()]) + "\n"
+    q["answers_collected"] = answers + collected + "a_rates"
+    times = ", ".join(f"strftime({k}_at, '%Y-%m-%dT%H:%M:%S') AS {k}_fetched_at" for k in ("ves", "cop", "eur"))
+    q["answer_rates"] = answers + f"SELECT * EXCLUDE (ves_at, cop_at, eur_at), {times} FROM a_rates"
+    q["answer_quotes"] = answers + (f"SELECT snap, pos AS answer, i::INTEGER AS pos, nombre, {cls} AS quote_class, {vval} AS value FROM a_lq")
     # summary
     q["rows_per_batch"] = full + "SELECT batch_id, count(*) AS rows FROM dv GROUP BY batch_id"
     q["rows_by_currency"] = full + ("SELECT batch_id, moneda_pago, count(*) AS rows FROM dv "
@@ -430,13 +469,14 @@ def oracle_queries() -> dict[str, str]:
     q["ordered_output"] = full + f"SELECT batch_id, {ordered} FROM dv"
     q["warehouse_shape"] = full + f"SELECT {', '.join(_warehouse_select())} FROM dv"
     L, S = R.RATES_REPORT_LABELS, R.RATES_REPORT_SOURCES
-    ves_src = f"CASE WHEN ves_is_default THEN {lit(S[4])} ELSE coalesce(ves_source, {lit(S[0])}) END"
-    eur_src = f"CASE WHEN eur_is_default THEN {lit(S[4])} ELSE {lit(S[3])} END"
-    rep = [f"SELECT batch_id, 0 AS n, {lit(L[0])} AS label, ves AS value, {ves_src} AS detail FROM rates",
-           f"SELECT batch_id, 1, {lit(L[1])}, ves_thursday, {lit(S[1])} FROM rates",
-           f"SELECT batch_id, 2, {lit(L[2])}, {float(R.THURSDAY_MARGIN)}E0, {lit(S[2])} FROM rates",
-           f"SELECT batch_id, 3, {lit(L[3])}, eur, {eur_src} FROM rates",
-           f"SELECT batch_id, 4, {lit(L[4])}, CAST(NULL AS DOUBLE), ves_date FROM rates"]
+    ves_src = f"CASE WHEN ves_answered THEN ves_source ELSE {lit(S[4])} END"
+    eur_src = f"CASE WHEN eur_answered THEN {lit(EUR_SOURCE)} ELSE {lit(S[4])} END"
+    rep = [f"SELECT batch_id, 0 AS n, {lit(L[0])} AS label, ves AS value, CAST(NULL AS VARCHAR) AS value_text, {ves_src} AS detail FROM rates",
+           f"SELECT batch_id, 1, {lit(L[1])}, ves_thursday, NULL, {lit(S[1])} FROM rates",
+           f"SELECT batch_id, 2, {lit(L[2])}, {float(R.THURSDAY_MARGIN)}E0, NULL, {lit(S[2])} FROM rates",
+           f"SELECT batch_id, 3, {lit(L[3])}, eur, NULL, {eur_src} FROM rates",
+           f"SELECT batch_id, 4, {lit(L[4])}, CAST(NULL AS DOUBLE), coalesce(ves_date, strftime(ves_at, '%Y-%m-%d')), "
+           "strftime(ves_at, '%Y-%m-%dT%H:%M:%S') FROM rates"]
     q["rates_report"] = full + "\nUNION ALL\n".join(rep)
     local = f"timezone({lit(R.BUSINESS_TZ)}, timezone('UTC', TIMESTAMP '{RUN_TS}'))"
     day = f"strftime({local}, '%Y-%m-%d')"

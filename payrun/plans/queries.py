@@ -227,6 +227,23 @@ def q_rates_collected(spark, sf):
     return RT.rates_collected(FX.quotes(spark, sf), ["snap"])
 
 
+def q_answer_quotes(spark, sf):
+    """Each quote of each VES answer."""
+    q = RT.explode_quote_list(FX.answers(spark, sf).where(F.col("pair") == "VES").withColumnRenamed("pos", "answer"), ["snap", "answer"])
+    return q.select("snap", "answer", "pos", F.col("quote")["nombre"].alias("nombre"),
+                    RT.quote_class(F.col("quote")["nombre"]).alias("quote_class"), RT.ves_value(F.col("quote")).alias("value"))
+
+
+def q_answer_rates(spark, sf):
+    """S4-S7, R1-R7 over answers that hold lists of quotes."""
+    r = RT.snapshot_from_quote_rows(FX.answers(spark, sf), ["snap"])
+    return r.select("snap", *[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c) if c.endswith("fetched_at") else c for c in RT.RATE_FIELDS])
+
+
+def q_answers_collected(spark, sf):
+    return RT.rates_collected(FX.answers(spark, sf), ["snap"])
+
+
 # -- summary (A1-A6, K10) ------------------------------------------------------------
 
 def q_rows_per_batch(spark, sf):
@@ -396,6 +413,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eur_from_json": q_eur_from_json,
         "cop_object_or_list": q_cop_object_or_list,
         "rates_collected": q_rates_collected,
+        "answer_quotes": q_answer_quotes,
+        "answer_rates": q_answer_rates,
+        "answers_collected": q_answers_collected,
         "rows_per_batch": q_rows_per_batch,
         "rows_by_currency": q_rows_by_currency,
         "rows_by_day": q_rows_by_day,

@@ -205,6 +205,8 @@ RATES_REPORT_LABELS = (
     "Tasa EUR/USD",
     "Fecha consulta",
 )
+# Sources that a rate carries where its answer names none.
+VES_SOURCE, COP_SOURCE, EUR_SOURCE = "DolarAPI Venezuela", "DolarAPI Colombia", "Frankfurter API (ECB)"
 RATES_REPORT_SOURCES = ("DolarAPI", "Calculada (Tasa + 5)", "Configuración", "Frankfurter", "Por defecto")
 
 # Name stems of the processed and final files of a run.

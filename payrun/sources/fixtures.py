@@ -80,20 +80,14 @@ SELECT c_custkey AS pos,
 FROM {customer}
 """
 
-# One fetched answer per event: VES quote objects, COP answers (object or
-# list, several key shapes, some unreadable) and EUR answers (some broken).
-# ``snap`` is the day; ``batch_id`` assigns each day's answers to a batch.
+# One fetched answer per event: VES answers ({ves}: a landed quote object or a list),
+# COP answers (object or list, several key shapes, some unreadable) and EUR answers (some
+# broken). ``snap`` is the day; ``batch_id`` assigns each day's answers to a batch.
 QUOTES_SQL = """
-SELECT snap, 'batch-' || CAST(EXTRACT(DAY FROM snap) % 4 AS STRING) AS batch_id, pos, pair,
+SELECT snap, 'batch-' || CAST(EXTRACT(DAY FROM snap) % 4 AS STRING) AS batch_id, pos, pair, fetched_at,
  CASE pair
   WHEN 'VES' THEN
-   '{{"nombre":"' || nombre || '",'
-   || CASE WHEN pos % 10 = 0 THEN ''
-           WHEN pos % 10 = 1 THEN '"promedio":null,'
-           WHEN pos % 17 = 0 THEN '"promedio":"n/d",'
-           WHEN pos % 3 = 0 THEN '"promedio":"' || replace(v2, '.', ',') || '",'
-           ELSE '"promedio":"' || v2 || '",' END
-   || '"compra":"' || v2 || '","venta":"' || v2 || '","fechaActualizacion":"' || CAST(snap AS STRING) || '"}}'
+{ves}
   WHEN 'COP' THEN
    CASE WHEN pos % 11 = 0 THEN '[]'
         ELSE CASE WHEN pos % 2 = 0 THEN '[' ELSE '' END
@@ -107,7 +101,7 @@ SELECT snap, 'batch-' || CAST(EXTRACT(DAY FROM snap) % 4 AS STRING) AS batch_id,
         ELSE '{{"amount":1.0,"base":"EUR","date":"' || CAST(snap AS STRING) || '","rates":{{"USD":' || v_eur || '}}}}' END
  END AS payload
 FROM (
- SELECT CAST(ts AS DATE) AS snap, event_id AS pos,
+ SELECT CAST(ts AS DATE) AS snap, event_id AS pos, ts AS fetched_at,
   CASE WHEN event_type IN ('purchase', 'view', 'click') THEN 'VES' WHEN event_type = 'signup' THEN 'COP'
        ELSE 'EUR' END AS pair,
   CASE event_type
@@ -123,6 +117,36 @@ FROM (
 """
 
 
+# A landed VES quote object.
+VES_OBJECT = """
+   '{"nombre":"' || nombre || '",'
+   || CASE WHEN pos % 10 = 0 THEN ''
+           WHEN pos % 10 = 1 THEN '"promedio":null,'
+           WHEN pos % 17 = 0 THEN '"promedio":"n/d",'
+           WHEN pos % 3 = 0 THEN '"promedio":"' || replace(v2, '.', ',') || '",'
+           ELSE '"promedio":"' || v2 || '",' END
+   || '"compra":"' || v2 || '","venta":"' || v2 || '","fechaActualizacion":"' || CAST(snap AS STRING) || '"}'
+"""
+
+# A VES answer as the service gives it: a list of several quotes, of one, of none, a
+# broken text, a quote without a name (or null for it), an empty quote, or no list of objects.
+VES_LIST = """
+   CASE pos % 11
+    WHEN 0 THEN '[]'
+    WHEN 1 THEN '[{"nombre":"' || nombre || '",'
+    WHEN 2 THEN '[{"nombre":null,"promedio":"' || v2 || '"}]'
+    WHEN 3 THEN '[{"compra":"' || v2 || '"}]'
+    WHEN 4 THEN '["' || nombre || '"]'
+    WHEN 5 THEN '[{},{"nombre":"' || nombre || '","promedio":' || v2 || '}]'
+    WHEN 6 THEN '[{"nombre":"' || nombre || '","promedio":"n/d","compra":"' || v2 || '"}]'
+    WHEN 7 THEN '[{"nombre":"' || nombre || '","compra":"' || replace(v2, '.', ',') || '","fechaActualizacion":"' || CAST(snap AS STRING) || 'T09:00:00"},'
+         || '{"nombre":"Otro","promedio":1.5}]'
+    ELSE '[{"nombre":"Cripto","promedio":"7"},{"nombre":"' || nombre || '","promedio":"' || v2 || '","fechaActualizacion":"' || CAST(snap AS STRING) || '"},'
+         || '{"nombre":"' || nombre || ' 2","promedio":' || v_eur || '}]'
+   END
+"""
+
+
 def invoices_sql(refs: dict[str, str], extra: str = "") -> str:
     return INVOICES_SQL.format(extra=extra, **refs)
 
@@ -132,7 +156,11 @@ def areas_sql(refs: dict[str, str]) -> str:
 
 
 def quotes_sql(refs: dict[str, str]) -> str:
-    return QUOTES_SQL.format(**refs)
+    return QUOTES_SQL.format(ves=VES_OBJECT.strip("\n"), **refs)
+
+
+def answers_sql(refs: dict[str, str]) -> str:
+    return QUOTES_SQL.format(ves=VES_LIST.strip("\n"), **refs)
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +179,10 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(quotes_sql(spark_refs(sf_dir)))
 
 
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(answers_sql(spark_refs(sf_dir)))
+
+
 # -- a sheet grid built from the invoices ------------------------------------
 # Each batch becomes one exported sheet: data rows keep the invoice values as
 # text (numbers as fixed-scale decimals, so both engines print them alike) at
