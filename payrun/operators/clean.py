@@ -8,7 +8,6 @@ one aggregate and is meant for wide inputs with unknown columns only.
 from __future__ import annotations
 
 import re
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -111,13 +110,9 @@ def empty_after_tokens(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column
 def drop_rows(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     """C1 + C5 on raw cells (token-aware); C10 is left to the caller.
 
-    The rows read are counted (``observe``) just below the filter. The optimizer
-    moves no filter through that count, and so does not merge this test, which names
-    every cell, with the expressions that build the cells: from such a test it would
-    infer one more constraint for each subset of the columns. The test could not
-    reach a scan anyway.
+    One filter on stored columns: filters put above it (a batch, say) still reach the
+    scan and prune its partitions.
     """
-    df = df.observe(f"rows_read_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
     keep = ~empty_after_tokens(df, rules)
     if "numero_factura" in df.columns:
         keep = keep & ~is_summary_row(df, rules)

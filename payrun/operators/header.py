@@ -7,9 +7,9 @@ batch: the first row with enough expected names (H1), else the first row
 that looks like a text header (H2), else the first row (H3). All three are
 found in the same pass with ``min_by``.
 
-Promotion (H4) joins each grid row to its batch's header (one row per batch,
-so Spark's size check broadcasts it) and reads every expected column by its
-position in the cleaned header; no per-row map is built.
+Promotion (H4) joins each grid row to its batch's header (one row per batch, broadcast
+where its measured size allows, salted beyond) and reads every expected column by its
+position in the cleaned header. Positions are searched once per batch, not per row.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from .. import rules as R
 from ..functions import text
 from ..rules import DEFAULT_RULES, PayRules
 from . import clean as C
+from .keyed import join_keyed
 
 
 def header_hits(cells: Column, rules: PayRules = DEFAULT_RULES) -> Column:
@@ -76,21 +77,23 @@ def detect_headers(grid: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFram
     )
 
 
+def positions(headers: DataFrame) -> DataFrame:
+    """``batch_id, _header_row`` and the place (from 0, null where absent) of each expected column."""
+    place = {c: F.array_position(F.col("header"), name) for name, c in R.HEADER_TO_COLUMN}
+    return headers.select("batch_id", F.col("header_row").alias("_header_row"),
+                          *[F.when(p > 0, (p - 1).cast("int")).alias(f"_at_{c}") for c, p in place.items()])
+
+
 def promote_header(grid: DataFrame, rules: PayRules = DEFAULT_RULES,
-                   headers: DataFrame | None = None) -> DataFrame:
+                   headers: DataFrame | None = None, broadcast_bytes: int | None = None) -> DataFrame:
     """H4: rows below each batch's header, as the 24 canonical text columns.
 
     Columns whose header is absent are null (C8); unknown columns are left
     out (the output keeps only the expected ones, as P2 does).
     """
-    h = headers if headers is not None else detect_headers(grid, rules)
-    pos = {c: F.array_position(F.col("header"), name) for name, c in R.HEADER_TO_COLUMN}
-    rows = grid.join(h.select("batch_id", "header_row", "header"), "batch_id") \
-               .where(F.col("row_idx") > F.col("header_row"))
-    return rows.select(
-        "batch_id", "row_idx",
-        *[F.when(p > 0, F.get(F.col("cells"), (p - 1).cast("int"))).alias(c) for c, p in pos.items()],
-    )
+    h = positions(headers if headers is not None else detect_headers(grid, rules))
+    rows = join_keyed(grid, h, "batch_id", broadcast_bytes=broadcast_bytes).where(F.col("row_idx") > F.col("_header_row"))
+    return rows.select("batch_id", "row_idx", *[F.get("cells", F.col(f"_at_{c}")).alias(c) for c in R.INPUT_COLUMNS])
 
 
 def named_rows(grid: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:

@@ -7,8 +7,7 @@ their payloads, and a failed, zero or unreadable value falls back to the
 default rate. All of it is one partial aggregate per key plus a projection.
 
 The resulting ``rates`` table has one row per key and is joined to the
-invoices on that key (J4). Its size is the number of batches; the join is
-left to Spark's size check (AQE broadcasts it while it is small).
+invoices on that key (J4): measured, then broadcast, or salted where it is too large.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import text
 from ..rules import DEFAULT_RULES, PayRules
+from .keyed import join_keyed
 
 QUOTE_MAP = "map<string,string>"
 QUOTE_LIST = "array<map<string,string>>"
@@ -256,14 +256,17 @@ def default_rates(df_keys: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFr
 # -- J4: rates on every row ----------------------------------------------------
 
 def attach_rates(df: DataFrame, rates: DataFrame, key: str = "batch_id",
-                 rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """Join the snapshot on ``key``; a batch without one uses defaults."""
+                 rules: PayRules = DEFAULT_RULES, broadcast_bytes: int | None = None) -> DataFrame:
+    """Join the snapshot on ``key``; a batch without one uses defaults.
+
+    The facts are not moved by the key, whatever the number of batches (``join_keyed``).
+    """
     r = rates.select(
         F.col(key),
         F.col("ves").alias("_ves"), F.col("ves_thursday").alias("_ves5"),
         F.col("eur").alias("_eur"), F.col("cop").alias("_cop"),
     )
-    return df.join(r, key, "left").withColumns({
+    return join_keyed(df, r, key, "left", broadcast_bytes).withColumns({
         "tasa_bolivares": F.coalesce("_ves", F.lit(float(rules.default_ves_rate))),
         "tasa_bolivares_jueves": F.coalesce("_ves5", F.lit(float(rules.default_ves_thursday_rate))),
         "tasa_euro": F.coalesce("_eur", F.lit(float(rules.default_eur_rate))),
