@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import text
 from ..rules import DEFAULT_RULES, PayRules
+from ..session import stored
 from . import clean as C
 from .keyed import join_keyed
 
@@ -96,6 +97,67 @@ def promote_header(grid: DataFrame, rules: PayRules = DEFAULT_RULES,
     return rows.select("batch_id", "row_idx", *[F.get("cells", F.col(f"_at_{c}")).alias(c) for c in R.INPUT_COLUMNS])
 
 
+# -- columns of a sheet (H5, C2, C4, A5) ----------------------------------------------
+
+WORD = 62           # positions in one number of the presence bitmap
+
+
+def unique_names(names: Column) -> Column:
+    """H5: a repeated header text gets ``.1``, ``.2``, ... in the order of the columns."""
+    def named(x: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(names, F.lit(1), i), lambda y: y == x))
+        return F.when(before > 0, F.concat(x, F.lit("."), before.cast("string"))).otherwise(x)
+    return F.transform(names, named)
+
+
+def filled_positions(grid: DataFrame, headers: DataFrame, rules: PayRules = DEFAULT_RULES,
+                     broadcast_bytes: int | None = None) -> DataFrame:
+    """C2 measure: ``batch_id, filled``: the positions that hold a value below the header.
+
+    Each row becomes one bitmap for each ``WORD`` of its positions; ``bit_or`` joins
+    them on each task, so a batch of any size sends a few numbers a task.
+    """
+    first = headers.select("batch_id", F.col("header_row").alias("_header_row"))
+    rows = join_keyed(grid, first, "batch_id", broadcast_bytes=broadcast_bytes).where(F.col("row_idx") > F.col("_header_row"))
+    words = rows.select("batch_id", "cells", F.explode(F.sequence(F.lit(0), F.floor((F.size("cells") - 1) / WORD).cast("int"))).alias("word"))
+    zero = F.lit(0).cast("bigint")
+    part = F.slice("cells", F.col("word") * WORD + 1, F.lit(WORD))
+    bits = F.transform(part, lambda x, i: F.when(text.is_empty_cell(x, rules.null_tokens), zero)
+                       .otherwise(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)))
+    found = words.groupBy("batch_id", "word").agg(F.bit_or(F.aggregate(bits, zero, lambda a, b: a.bitwiseOR(b))).alias("bits"))
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)),
+                      lambda i: F.call_function("shiftright", F.col("bits"), i).bitwiseAND(F.lit(1).cast("bigint")) == 1)
+    placed = found.select("batch_id", F.transform(places, lambda i: i + F.col("word") * WORD).alias("places"))
+    return placed.groupBy("batch_id").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("filled"))
+
+
+def sheet_columns(grid: DataFrame, rules: PayRules = DEFAULT_RULES, headers: DataFrame | None = None) -> DataFrame:
+    """The columns each sheet keeps: ``batch_id, header, columns array<(position, name)>``.
+
+    Columns without a name (C4) go, and columns without any value unless they are
+    expected (C2).
+    """
+    h = stored(headers if headers is not None else detect_headers(grid, rules), "headers")
+    named = h.select("batch_id", "header_row", unique_names(F.col("header")).alias("header"))
+    filled = named.join(filled_positions(grid, h, rules), "batch_id", "left")
+    every = F.transform("header", lambda x, i: F.struct(i.alias("position"), x.alias("name")))
+    empty = F.array().cast("array<int>")
+    return filled.select("batch_id", "header_row", "header", F.filter(every, lambda c: ~c["name"].startswith("Unnamed") & (
+        F.array_contains(F.coalesce("filled", empty), c["position"]) | c["name"].isin(*rules.expected_headers))).alias("columns"))
+
+
+def promote_all(grid: DataFrame, rules: PayRules = DEFAULT_RULES, broadcast_bytes: int | None = None) -> DataFrame:
+    """H4 with what is not expected: ``promote_header`` and ``unknown``, a map from the
+    name of each further column that the sheet keeps to the row's cell."""
+    kept = sheet_columns(grid, rules)
+    others = F.filter("columns", lambda c: ~c["name"].isin(*rules.expected_headers))
+    h = positions(kept).join(kept.select("batch_id", others.alias("_others")), "batch_id")
+    rows = join_keyed(grid, h, "batch_id", broadcast_bytes=broadcast_bytes).where(F.col("row_idx") > F.col("_header_row"))
+    cells = F.transform("_others", lambda c: F.struct(c["name"], F.get("cells", c["position"])))
+    return rows.select("batch_id", "row_idx", *[F.get("cells", F.col(f"_at_{c}")).alias(c) for c in R.INPUT_COLUMNS],
+                       F.map_from_entries(cells).alias("unknown"))
+
+
 def named_rows(grid: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     """K9: detected, promoted and cleaned rows (no derivation)."""
     return C.clean(promote_header(grid, rules), rules)

@@ -396,6 +396,22 @@ def oracle_queries() -> dict[str, str]:
         for name, c in R.HEADER_TO_COLUMN)
     q["promote_header"] = hdr + (f"SELECT g.batch_id, g.row_idx, {picks} FROM g JOIN hd ON g.batch_id = hd.batch_id "
                                  "WHERE g.row_idx > hd.header_row")
+    exp = in_list(R.EXPECTED_HEADERS)
+    kept = hdr + f""", un AS (SELECT batch_id, header_row, position, name || CASE WHEN k > 1 THEN '.' || (k - 1) ELSE '' END AS name FROM (
+          SELECT *, row_number() OVER (PARTITION BY batch_id, name ORDER BY position) AS k FROM (SELECT batch_id, header_row,
+            CAST(generate_subscripts(header, 1) - 1 AS INTEGER) AS position, unnest(header) AS name FROM hd))),
+        cell AS (SELECT g.batch_id, row_idx, CAST(generate_subscripts(cells, 1) - 1 AS INTEGER) AS position, unnest(cells) AS cell
+                 FROM g JOIN hd ON g.batch_id = hd.batch_id AND g.row_idx > hd.header_row),
+        fill AS (SELECT batch_id, position, count(*) FILTER (WHERE {null_token('cell')} IS NOT NULL) AS filled FROM cell GROUP BY ALL),
+        kc AS (SELECT batch_id, position, name FROM un LEFT JOIN fill USING (batch_id, position)
+               WHERE NOT starts_with(name, 'Unnamed') AND (coalesce(filled, 0) > 0 OR name IN {exp}))"""
+    q["kept_columns"] = kept + "SELECT * FROM kc"
+    added = "Moneda Pago|Cuenta Bancaria|Dia de Pago|Monto Final|Monto Capex Final|Monto Opex Final|AREA|Tipo Capex 2|Tipo Capex|" \
+            "Monto Capex ORD 2|Monto Capex EXT 3|Monto Capex ORD USD|Monto Capex EXT USD|Monto CAPEX USD|Monto OPEX USD|Monto Total USD"
+    q["sheet_summary"] = kept + (f"SELECT batch_id, CAST(count(*) + 16 AS INTEGER) AS total_columnas, "
+                                 f"string_agg(name, '|' ORDER BY position) || '|' || {lit(added)} AS columnas FROM kc GROUP BY batch_id")
+    q["unknown_cells"] = kept + (f"SELECT batch_id, name, count(*) AS rows, count(cell) AS filled, max(cell) AS largest "
+                                 f"FROM kc JOIN cell USING (batch_id, position) WHERE name NOT IN {exp} GROUP BY ALL")
     # derivation
     for name, cols in DERIVED_VIEWS.items():
         q[name] = full + f"SELECT {ID}, {cols} FROM dv"

@@ -126,6 +126,22 @@ def q_promote_header(spark, sf):
     return H.promote_header(FX.grid(spark, sf))
 
 
+def q_kept_columns(spark, sf):
+    """The columns of each sheet that cleaning keeps."""
+    return H.sheet_columns(FX.grid(spark, sf)).select("batch_id", F.inline("columns"))
+
+
+def q_sheet_summary(spark, sf):
+    """Number and names of the processed columns."""
+    return S.sheet_summary(FX.grid(spark, sf)).select("batch_id", "total_columnas", F.array_join("columnas", "|").alias("columnas"))
+
+
+def q_unknown_cells(spark, sf):
+    """The cells of columns that no header list names."""
+    rows = H.promote_all(FX.grid(spark, sf)).select("batch_id", "row_idx", F.explode("unknown").alias("name", "cell"))
+    return rows.groupBy("batch_id", "name").agg(F.count("*").alias("rows"), F.count("cell").alias("filled"), F.max("cell").alias("largest"))
+
+
 # -- derivation (D1-D16) -----------------------------------------------------------
 
 DERIVED_VIEWS = {
@@ -398,6 +414,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "header_match": q_header_match,
         "header_fallback": q_header_fallback,
         "promote_header": q_promote_header,
+        "kept_columns": q_kept_columns,
+        "sheet_summary": q_sheet_summary,
+        "unknown_cells": q_unknown_cells,
     }
     reg.update({name: _derived_view(cols) for name, cols in DERIVED_VIEWS.items()})
     reg.update({

@@ -15,10 +15,14 @@ skipped by the CSV reader.
 
 from __future__ import annotations
 
+import urllib.parse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.keyed import join_keyed
+from ..session import stored
 from ..sinks.files import read_folders
 
 SHEET_GLOB = "*.{csv,CSV}"
@@ -37,19 +41,29 @@ def record_width(record: Column) -> Column:
     return F.length(F.regexp_replace(record, '"[^"]*+"|[^,]', "")) + 1
 
 
-def sheet_width(spark: SparkSession, path: str, glob: str = SHEET_GLOB) -> int:
+def sheet_width(spark: SparkSession, path: str, glob: str = SHEET_GLOB, recursive: bool = False) -> int:
     """The most cells that any record of these sheets has (one pass, one number back)."""
-    raw = spark.read.schema(wide_schema(1)).options(pathGlobFilter=glob, **CSV_OPTIONS).csv(path)
+    raw = spark.read.schema(wide_schema(1)).options(pathGlobFilter=glob, recursiveFileLookup=recursive, **CSV_OPTIONS).csv(path)
     widest = raw.agg(F.max(F.coalesce(record_width(F.col(RECORD)), F.when(F.col("c0").isNotNull(), 1))).alias("n")).first().n
     return widest or 1
 
 
-def sheet_rows(raw: DataFrame, width: int) -> DataFrame:
+def batch_name(path: Column, root: str | None) -> Column:
+    """The file's place below ``root`` without extension, so equal names in two folders
+    are two batches; the bare file name where the root is not part of the path."""
+    name = F.regexp_extract(path, "[^/]*$", 0)
+    if root:
+        below = urllib.parse.quote(root.split("://")[-1].rstrip("/"), safe="/:@!$&'()*+,;=~") + "/"
+        name = F.when(F.locate(below, path) > 0, F.substring_index(path, below, -1)).otherwise(name)
+    return F.regexp_replace(name, r"\.[^./]*$", "")
+
+
+def sheet_rows(raw: DataFrame, width: int, root: str | None = None) -> DataFrame:
     """``batch_id, _path, cells`` of records read with ``wide_schema(width)``; a
     record of more cells is an error, never cut."""
     too_wide = F.concat(F.lit(f"a record has more than {width} cells: "), F.col("_metadata.file_path"))
     return raw.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("batch_id"),
+        batch_name(F.col("_metadata.file_path"), root).alias("batch_id"),
         F.col("_metadata.file_path").alias("_path"),
         F.when(record_width(F.col(RECORD)) > width, F.raise_error(too_wide))
         .otherwise(F.array(*[F.col(f"c{i}") for i in range(width)])).alias("cells"),
@@ -57,21 +71,26 @@ def sheet_rows(raw: DataFrame, width: int) -> DataFrame:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """Row positions inside each file, from ids that rise within it."""
+    """Row positions inside each file.
+
+    Rows get their ids in one evaluation, which is stored: ids rise within a file, and
+    the least id of each file, read from the stored table, is its row 0.
+    """
+    rows = stored(rows.withColumn("_id", F.monotonically_increasing_id()), "sheets")
     first = rows.groupBy("_path").agg(F.min("_id").alias("_first"))
-    return rows.join(first, "_path").select("batch_id", (F.col("_id") - F.col("_first")).alias("row_idx"), "cells")
+    return join_keyed(rows, first, "_path").select("batch_id", (F.col("_id") - F.col("_first")).alias("row_idx"), "cells")
 
 
-def read_grid(spark: SparkSession, path: str, glob: str = SHEET_GLOB) -> DataFrame:
+def read_grid(spark: SparkSession, path: str, glob: str = SHEET_GLOB, recursive: bool = False) -> DataFrame:
     """A directory of exported sheets -> ``grid(batch_id, row_idx, cells)``.
 
-    ``batch_id`` is the file name without extension; ``glob`` chooses which
-    files (and so which sheets) are read (S9). The widest record decides how many
-    cells each row has.
+    ``batch_id`` is the file's place below ``path`` without extension; ``glob`` chooses
+    which files (and so which sheets) are read (S9), ``recursive`` those in folders below
+    too. The widest record decides how many cells each row has.
     """
-    width = sheet_width(spark, path, glob)
-    raw = spark.read.schema(wide_schema(width)).options(pathGlobFilter=glob, **CSV_OPTIONS).csv(path)
-    return numbered(sheet_rows(raw, width).withColumn("_id", F.monotonically_increasing_id()))
+    width = sheet_width(spark, path, glob, recursive)
+    raw = spark.read.schema(wide_schema(width)).options(pathGlobFilter=glob, recursiveFileLookup=recursive, **CSV_OPTIONS).csv(path)
+    return numbered(sheet_rows(raw, width, path))
 
 
 def write_sheet(df: DataFrame, path: str) -> None:
@@ -90,8 +109,8 @@ def read_areas(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         return spark.read.parquet(path)
     raw = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
     c0, c1 = raw.columns[0], raw.columns[1]
-    return raw.select(F.monotonically_increasing_id().alias("pos"),
-                      F.col(f"`{c0}`").alias("codigo"), F.col(f"`{c1}`").alias("area"))
+    return stored(raw.select(F.monotonically_increasing_id().alias("pos"),
+                             F.col(f"`{c0}`").alias("codigo"), F.col(f"`{c1}`").alias("area")), "areas")
 
 
 def read_staging(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -15,7 +15,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import header as H
 from ..plans import pipeline
@@ -33,7 +32,7 @@ def start(spark: SparkSession, inbox: str, out: str, areas: DataFrame, rates: Da
     cells ends the query with an error.
     """
     raw = spark.readStream.schema(wide_schema(width)).options(pathGlobFilter=SHEET_GLOB, **CSV_OPTIONS).csv(inbox)
-    rows = sheet_rows(raw, width)
+    rows = sheet_rows(raw, width, inbox)
 
     ckpt = checkpoint or os.path.join(spark.conf.get("spark.checkpoint.dir"), "uploads")
 
@@ -41,7 +40,7 @@ def start(spark: SparkSession, inbox: str, out: str, areas: DataFrame, rates: Da
         # Promoted rows land in a staging table first (S10): step 1 then
         # reads plain stored columns. A retried epoch overwrites its own
         # staging folder and its own batches in the output.
-        grid = numbered(batch.withColumn("_id", F.monotonically_increasing_id()))
+        grid = numbered(batch)
         staging = os.path.join(ckpt, "staging", f"epoch={epoch}")
         H.promote_header(grid, rules).write.mode("overwrite").parquet(staging)
         named = spark.read.parquet(staging).drop("row_idx")
