@@ -1,9 +1,9 @@
 """The business area of each invoice.
 
 * J2/J3 are "theta" rules: provider text contains a rule text or is
-  contained in it (and, for J3, the same for the branch). With a handful of
-  rules they are an OR-chain of ``contains`` inside the projection, so no
-  join is planned at all.
+  contained in it (and, for J3, the same for the branch). Up to ``INLINE_RULES``
+  they are an OR-chain of ``contains`` inside the projection, so no join is planned
+  at all; more are matched by the gram index of ``containment``.
 * J1 is a left equi-join from the stripped requester code to a deduplicated
   lookup (the last duplicate wins). The lookup is one row per code; Spark's
   size check (AQE / ``autoBroadcastJoinThreshold``) broadcasts it while it
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import text
 from ..rules import DEFAULT_RULES, PayRules
+from .containment import flag_rules
 
 LOOKUP_COL = "_area_lookup"
+INLINE_RULES = 64
 
 
 def _contains_either(value: Column, rule_text: str, require_nonblank: bool) -> Column:
@@ -97,21 +99,43 @@ def add_area_inputs(df: DataFrame) -> DataFrame:
     })
 
 
+def rule_count(rules: PayRules) -> int:
+    return len(rules.always_recargas_providers) + sum(len(b) for _, b in rules.branch_recargas_providers)
+
+
+def add_rule_flags(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
+    """J2 + J3 by index, as columns ``_always`` and ``_branch``; needs ``add_area_inputs``."""
+    spark = df.sparkSession
+    always = spark.createDataFrame([(r.upper(),) for r in rules.always_recargas_providers], "rule string")
+    branch = spark.createDataFrame([(p.upper(), b.upper()) for p, bs in rules.branch_recargas_providers for b in bs],
+                                   "provider string, branch string")
+    return flag_rules(df, always, branch, blank_matches=not rules.require_nonblank_match)
+
+
 def area(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> Column:
-    """D7 ``AREA``; needs ``attach_area_lookup`` and ``add_area_inputs`` first."""
+    """D7 ``AREA``; needs ``attach_area_lookup`` and ``add_area_inputs`` first (and
+    ``add_rule_flags`` where the rules are many)."""
     prov, suc, sol = F.col("_prov_u"), F.col("_suc_u"), F.col("_sol_key")
+    flagged = "_always" in df.columns
     return (
-        F.when(provider_rule(prov, rules), F.lit(R.RECARGAS))
-        .when(provider_branch_rule(prov, suc, rules), F.lit(R.RECARGAS))
+        F.when(F.col("_always") if flagged else provider_rule(prov, rules), F.lit(R.RECARGAS))
+        .when(F.col("_branch") if flagged else provider_branch_rule(prov, suc, rules), F.lit(R.RECARGAS))
         .when(requester_is_zero(sol), F.lit(R.SERVICIOS))
         .otherwise(F.coalesce(F.col(LOOKUP_COL), F.lit(R.SERVICIOS)))
     )
 
 
-HELPER_COLS = ("_sol_key", LOOKUP_COL, "_prov_u", "_suc_u")
+HELPER_COLS = ("_sol_key", LOOKUP_COL, "_prov_u", "_suc_u", "_always", "_branch")
+
+
+def derive_area(df: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
+    """J2, J3 and D7 on rows that carry the lookup's area; drops the helper columns."""
+    df = add_area_inputs(df)
+    if rule_count(rules) > INLINE_RULES:
+        df = add_rule_flags(df, rules)
+    return df.withColumn("area", area(df, rules)).drop(*HELPER_COLS)
 
 
 def add_area(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """J1-J3 + D7: adds ``area`` and drops the helper columns."""
-    joined = add_area_inputs(attach_area_lookup(df, areas, rules))
-    return joined.withColumn("area", area(joined, rules)).drop(*HELPER_COLS)
+    """J1-J3 + D7: adds ``area``."""
+    return derive_area(attach_area_lookup(df, areas, rules), rules)

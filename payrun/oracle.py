@@ -375,18 +375,23 @@ def oracle_queries() -> dict[str, str]:
                                   f"{_money_sum('monto_final')} AS total_monto_final FROM dv GROUP BY ALL")
     # cleaning
     q["drop_summary_rows"] = plain + f"SELECT batch_id, {', '.join(FX_COLS)} FROM cl"
-    all_null = " AND ".join(f"{c} IS NULL" for c in TEXT_COLS + DOUBLE_COLS)
-    q["drop_empty_rows"] = plain + f"SELECT batch_id, count(*) AS rows_kept FROM tok WHERE NOT ({all_null}) GROUP BY batch_id"
-    q["empty_columns"] = plain + f"SELECT batch_id, {', '.join(f'count({c}) AS {c}' for c in FX_COLS)} FROM cl GROUP BY batch_id"
-    q["null_tokens"] = plain + f"SELECT batch_id, {', '.join(f'count({c}) AS nn_{c}' for c in TEXT_COLS)} FROM tok GROUP BY batch_id"
+    all_null = " AND ".join(f"{c} IS NULL" for c in FX_COLS)
+    raw = (f"WITH raw AS ({FX.raw_invoices_sql(FX.duck_refs())}),\n"
+           f"rtok AS (SELECT batch_id, {', '.join(f'{null_token(c)} AS {c}' for c in FX_COLS)} FROM raw),\n"
+           f"rcl AS (SELECT * FROM rtok WHERE NOT ({all_null}) AND NOT {summary_test('numero_factura')})\n")
+    q["drop_empty_rows"] = raw + f"SELECT batch_id, count(*) AS rows_kept FROM rtok WHERE NOT ({all_null}) GROUP BY batch_id"
+    q["empty_columns"] = raw + f"SELECT batch_id, {', '.join(f'count({c}) AS {c}' for c in FX_COLS)} FROM rcl GROUP BY batch_id"
+    q["null_tokens"] = raw + f"SELECT batch_id, {', '.join(f'count({c}) AS nn_{c}' for c in FX_COLS)} FROM rtok GROUP BY batch_id"
+    q["coerce_text_amounts"] = raw + (f"SELECT {ID}, {', '.join(f'{num_of_text(c)} AS {c}' for c in DOUBLE_COLS)}, "
+                                      "tienda IS NULL AS tienda_empty, rif IS NULL AS rif_empty FROM rcl")
     q["coerce_numbers"] = plain + f"SELECT {ID}, {', '.join(f'{num_double(c)} AS {c}' for c in DOUBLE_COLS)} FROM cl"
     q["coerce_priority"] = plain + f"SELECT {ID}, prioridad AS prioridad_text, {int_of_text('prioridad')} AS prioridad FROM cl"
     q["clean_names"] = hdr + ("SELECT batch_id, position, name FROM (SELECT batch_id, "
                               "CAST(generate_subscripts(header, 1) - 1 AS INTEGER) AS position, unnest(header) AS name FROM hd) "
                               "WHERE NOT starts_with(name, 'Unnamed')")
-    q["removed_rows"] = plain + (f"SELECT batch_id, count(*) AS rows_in, count(*) FILTER (WHERE {all_null}) AS empty_rows, "
-                                 f"count(*) FILTER (WHERE NOT ({all_null}) AND {summary_test('numero_factura')}) AS summary_rows "
-                                 "FROM tok GROUP BY batch_id")
+    q["removed_rows"] = raw + (f"SELECT batch_id, count(*) AS rows_in, count(*) FILTER (WHERE {all_null}) AS empty_rows, "
+                               f"count(*) FILTER (WHERE NOT ({all_null}) AND {summary_test('numero_factura')}) AS summary_rows "
+                               "FROM rtok GROUP BY batch_id")
     # header
     q["header_match"] = hdr + ("SELECT batch_id, min(row_idx) AS h1_row, arg_min(hits, row_idx) AS hits FROM sc "
                                f"WHERE hits >= {R.HEADER_MIN_MATCHES} GROUP BY batch_id")
@@ -423,6 +428,11 @@ def oracle_queries() -> dict[str, str]:
                                   "FROM cl GROUP BY proveedor")
     q["provider_branch_rule"] = plain + (f"SELECT proveedor, sucursal, {branch_rule(prov, suc)} AS branch_recargas, "
                                          "count(*) AS rows FROM cl GROUP BY proveedor, sucursal")
+    either = "(contains({0}, {1}) OR contains({1}, {0}))".format
+    q["many_rules"] = plain + f""", a AS ({FX.MANY_ALWAYS_SQL.format(**FX.duck_refs())}), b AS ({FX.MANY_BRANCH_SQL.format(**FX.duck_refs())}),
+        pr AS (SELECT proveedor, sucursal, {prov} AS p, {suc} AS s, count(*) AS rows FROM cl GROUP BY proveedor, sucursal)
+        SELECT proveedor, sucursal, rows, EXISTS (SELECT 1 FROM a WHERE {either('p', 'rule')}) AS always_recargas,
+          EXISTS (SELECT 1 FROM b WHERE {either('p', 'provider')} AND {either('s', 'branch')}) AS branch_recargas FROM pr"""
     q["apply_rates"] = full + ("SELECT batch_id, ves AS tasa_bolivares, ves5 AS tasa_bolivares_jueves, eur AS tasa_euro, "
                                "cop AS tasa_cop, count(*) AS rows FROM jr GROUP BY ALL")
     pint = int_of_text("prioridad")

@@ -40,9 +40,7 @@ def derive_all(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES)
     df = A.attach_area_lookup(df, areas, rules)
     df = C.null_tokens(df, rules, cols=text_cols)
     df = D.derive_payment(df, rules)
-    df = A.add_area_inputs(df)
-    df = df.withColumn("area", A.area(df, rules)).drop(*A.HELPER_COLS)
-    return D.derive_capex(df)
+    return D.derive_capex(A.derive_area(df, rules))
 
 
 def step1(invoices: DataFrame, areas: DataFrame, rates: DataFrame,

@@ -72,16 +72,16 @@ FX_COLUMNS = FX.INVOICE_COLUMNS
 
 
 def q_drop_empty_rows(spark, sf):
-    inv = C.null_tokens(FX.invoices(spark, sf))
+    inv = C.null_tokens(FX.raw_invoices(spark, sf))
     return C.drop_empty_rows(inv).groupBy("batch_id").agg(F.count("*").alias("rows_kept"))
 
 
 def q_empty_columns(spark, sf):
-    return C.empty_columns(cleaned(spark, sf).select("batch_id", *FX_COLUMNS))
+    return C.empty_columns(C.clean(FX.raw_invoices(spark, sf)))
 
 
 def q_null_tokens(spark, sf):
-    inv = C.null_tokens(FX.invoices(spark, sf))
+    inv = C.null_tokens(FX.raw_invoices(spark, sf))
     text_cols = [f.name for f in inv.schema.fields if f.name != "batch_id" and f.dataType.simpleString() == "string"]
     return inv.groupBy("batch_id").agg(*[F.count(c).alias(f"nn_{c}") for c in text_cols])
 
@@ -104,7 +104,13 @@ def q_clean_names(spark, sf):
 
 
 def q_removed_rows(spark, sf):
-    return C.removed_rows(FX.invoices(spark, sf))
+    return C.removed_rows(FX.raw_invoices(spark, sf))
+
+
+def q_coerce_text_amounts(spark, sf):
+    """C6 and C10 on amounts that come as text."""
+    df = C.clean(FX.raw_invoices(spark, sf))
+    return C.coerce_numbers(df).select(*ID, *R.AMOUNT_COLUMNS, *[F.col(c).isNull().alias(f"{c}_empty") for c in ("tienda", "rif")])
 
 
 # -- header (H1-H5) -----------------------------------------------------------
@@ -190,6 +196,14 @@ def q_provider_branch_rule(spark, sf):
     return g.select("proveedor", "sucursal", A.provider_branch_rule(prov, suc).alias("branch_recargas"), "rows")
 
 
+def q_many_rules(spark, sf):
+    """J2, J3 with rules that are tables: the gram index."""
+    always, branch = FX.many_rules(spark, sf)
+    df = A.flag_rules(A.add_area_inputs(cleaned(spark, sf)), always, branch)
+    return (df.groupBy("proveedor", "sucursal", F.col("_always").alias("always_recargas"), F.col("_branch").alias("branch_recargas"))
+            .agg(F.count("*").alias("rows")))
+
+
 def q_apply_rates(spark, sf):
     df = RT.attach_rates(cleaned(spark, sf), batch_rates(spark, sf))
     return df.groupBy("batch_id", *R.RATE_COLUMNS).agg(F.count("*").alias("rows"))
@@ -408,6 +422,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "empty_columns": q_empty_columns,
         "coerce_numbers": q_coerce_numbers,
         "coerce_priority": q_coerce_priority,
+        "coerce_text_amounts": q_coerce_text_amounts,
         "null_tokens": q_null_tokens,
         "clean_names": q_clean_names,
         "removed_rows": q_removed_rows,
@@ -423,6 +438,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "area_lookup": q_area_lookup,
         "provider_rule": q_provider_rule,
         "provider_branch_rule": q_provider_branch_rule,
+        "many_rules": q_many_rules,
         "apply_rates": q_apply_rates,
         "priority_membership": q_priority_membership,
         "pick_quote": q_pick_quote,

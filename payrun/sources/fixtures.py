@@ -65,6 +65,35 @@ FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {supplier}
 JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 """
 
+# The same invoices as an export delivers them: amounts as text (some unreadable), empty
+# texts of several kinds, rows without any value.
+EMPTY_TEXTS = ("", "NA", "#N/A", "NULL", "n/a", "nan", "None", "-1.#IND", "<NA>")
+
+
+def raw_invoices_sql(refs: dict[str, str]) -> str:
+    def cell(i: int, c: str) -> str:
+        empty = EMPTY_TEXTS[i % len(EMPTY_TEXTS)]
+        if c.startswith("monto"):
+            value = (f"CASE (src_orderkey + src_linenumber + {i}) % 41 WHEN 1 THEN 'n/d' WHEN 2 THEN '1,234' WHEN 3 THEN ' 12.50 ' WHEN 4 THEN '1e3' "
+                     f"WHEN 5 THEN 'inf' WHEN 6 THEN '-.5' WHEN 7 THEN '1_000' ELSE {_num_text(c)} END")
+        else:
+            value = c
+        return (f"CASE WHEN src_orderkey % 53 = 0 THEN {'NULL' if i % 2 else _q(empty)} "
+                f"WHEN (src_orderkey + {i}) % 47 = 0 THEN {_q(empty)} WHEN (src_orderkey + {i}) % 59 = 0 THEN ' NA ' ELSE {value} END AS {c}")
+
+    cells = ", ".join(cell(i, c) for i, c in enumerate(INVOICE_COLUMNS))
+    return f"SELECT batch_id, {cells} FROM ({invoices_sql(refs, ', l.l_orderkey AS src_orderkey, l.l_linenumber AS src_linenumber')}) i"
+
+
+# Many rules from the suppliers: names that lie in a provider's, that a provider's lies in, and neither.
+MANY_ALWAYS_SQL = """
+SELECT DISTINCT CASE WHEN s_suppkey % 4 = 0 THEN upper(s_name) || ', C.A.' WHEN s_suppkey % 4 = 1 THEN substr(upper(s_name), 10)
+                ELSE replace(upper(s_name), '#', '-') END AS rule FROM {supplier}
+"""
+MANY_BRANCH_SQL = """
+SELECT DISTINCT substr(upper(s_name), 12) AS provider, upper(n_name) AS branch FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
+"""
+
 # Area lookup over every customer. Keys are shaped, not filtered: one in
 # five never matches a requester, some repeat the previous key (the later
 # position wins), some carry spaces, some are null; some areas are null or
@@ -178,6 +207,16 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(grid_sql(spark_refs(sf_dir), "array"))
 
 
+def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``invoices``, from the export's texts."""
+    return spark.sql(raw_invoices_sql(spark_refs(sf_dir))).observe("raw_invoice_view", F.count(F.lit(1)).alias("rows"))
+
+
+def many_rules(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Provider rules (J2) and provider and branch rules (J3) as tables."""
+    return tuple(spark.sql(q.format(**spark_refs(sf_dir))) for q in (MANY_ALWAYS_SQL, MANY_BRANCH_SQL))
+
+
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(areas_sql(spark_refs(sf_dir)))
 
