@@ -479,6 +479,8 @@ def oracle_queries() -> dict[str, str]:
     q["rows_by_day"] = full + "SELECT batch_id, dia_pago, count(*) AS rows FROM dv WHERE dia_pago IS NOT NULL GROUP BY ALL"
     q["amount_sums"] = plain + ("SELECT batch_id, " + ", ".join(f"{_money_sum(num_double(c))} AS sum_{c}" for c in DOUBLE_COLS)
                                 + " FROM cl GROUP BY batch_id")
+    units = ", ".join(f"CAST(sum(CAST({num_double(c)} * pow(2.0E0, 80) AS HUGEINT)) AS VARCHAR) AS sum_{c}" for c in DOUBLE_COLS)
+    q["exact_sums"] = plain + f"SELECT batch_id, {units} FROM cl GROUP BY batch_id"
     cnt = ", ".join(f"count(*) FILTER (WHERE moneda_pago = '{c}') AS rows_{c.lower()}" for c in ("VES", "USD", "EUR", "COP"))
     q["batch_summary"] = full + (
         f"SELECT batch_id, count(*) AS total_filas, {DERIVED_WIDTH} AS total_columnas, {cnt}, "

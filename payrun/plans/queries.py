@@ -292,6 +292,11 @@ def q_amount_sums(spark, sf):
     return S.amount_sums(cleaned(spark, sf))
 
 
+def q_exact_sums(spark, sf):
+    """A4 exact: sums in units of 2**-80."""
+    return S.exact_amount_sums(cleaned(spark, sf), unit_bits=80)
+
+
 def q_batch_summary(spark, sf):
     return S.batch_summary(derived(spark, sf))
 
@@ -455,6 +460,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rows_by_currency": q_rows_by_currency,
         "rows_by_day": q_rows_by_day,
         "amount_sums": q_amount_sums,
+        "exact_sums": q_exact_sums,
         "batch_summary": q_batch_summary,
         "renamed_output": q_renamed_output,
         "ordered_output": q_ordered_output,
