@@ -25,6 +25,7 @@ from .containment import flag_rules
 
 LOOKUP_COL = "_area_lookup"
 INLINE_RULES = 64
+NO_REQUESTER_KEYS = 256
 
 
 def _contains_either(value: Column, rule_text: str, require_nonblank: bool) -> Column:
@@ -80,11 +81,17 @@ def dedupe_areas(areas: DataFrame) -> DataFrame:
 
 
 def attach_area_lookup(df: DataFrame, areas: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
-    """Left join the deduplicated lookup on the requester code."""
+    """Left join the deduplicated lookup on the requester code.
+
+    A blank or zero requester has no area of its own (D7), and often most rows have none:
+    their rows get keys that match nothing and spread over the tasks of a shuffle.
+    """
     lookup = dedupe_areas(areas).withColumnRenamed("area", LOOKUP_COL)
     keyed = df.withColumn("_sol_key", requester_key(df, rules))
-    return (keyed.join(lookup, keyed["_sol_key"] == lookup["codigo"], "left")
-            .drop("codigo"))
+    none = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % NO_REQUESTER_KEYS).cast("string"))
+    keyed = keyed.withColumn("_lookup_key", F.when(requester_is_zero(F.col("_sol_key")), none).otherwise(F.col("_sol_key")))
+    return (keyed.join(lookup, keyed["_lookup_key"] == lookup["codigo"], "left")
+            .drop("codigo", "_lookup_key"))
 
 
 def add_area_inputs(df: DataFrame) -> DataFrame:

@@ -401,6 +401,11 @@ def oracle_queries() -> dict[str, str]:
         for name, c in R.HEADER_TO_COLUMN)
     q["promote_header"] = hdr + (f"SELECT g.batch_id, g.row_idx, {picks} FROM g JOIN hd ON g.batch_id = hd.batch_id "
                                  "WHERE g.row_idx > hd.header_row")
+    named = [c for _, c in R.HEADER_TO_COLUMN]
+    none = " AND ".join(f"{c} IS NULL" for c in named)
+    q["named_rows"] = hdr + (f", pm AS (SELECT g.batch_id, g.row_idx, {picks} FROM g JOIN hd ON g.batch_id = hd.batch_id WHERE g.row_idx > hd.header_row), "
+                             f"pt AS (SELECT batch_id, row_idx, {', '.join(f'{null_token(c)} AS {c}' for c in named)} FROM pm) "
+                             f"SELECT * FROM pt WHERE NOT ({none}) AND NOT {summary_test('numero_factura')}")
     exp = in_list(R.EXPECTED_HEADERS)
     kept = hdr + f""", un AS (SELECT batch_id, header_row, position, name || CASE WHEN k > 1 THEN '.' || (k - 1) ELSE '' END AS name FROM (
           SELECT *, row_number() OVER (PARTITION BY batch_id, name ORDER BY position) AS k FROM (SELECT batch_id, header_row,

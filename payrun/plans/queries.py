@@ -132,6 +132,11 @@ def q_promote_header(spark, sf):
     return H.promote_header(FX.grid(spark, sf))
 
 
+def q_named_rows(spark, sf):
+    """K9: the cleaned table of each sheet, without derivation."""
+    return H.named_rows(FX.grid(spark, sf))
+
+
 def q_kept_columns(spark, sf):
     """The columns of each sheet that cleaning keeps."""
     return H.sheet_columns(FX.grid(spark, sf)).select("batch_id", F.inline("columns"))
@@ -434,6 +439,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "header_match": q_header_match,
         "header_fallback": q_header_fallback,
         "promote_header": q_promote_header,
+        "named_rows": q_named_rows,
         "kept_columns": q_kept_columns,
         "sheet_summary": q_sheet_summary,
         "unknown_cells": q_unknown_cells,
