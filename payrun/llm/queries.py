@@ -71,7 +71,7 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "archives")
     warc.write_archives(warc.mark_revisits(table(spark, sf_dir, "pages")), path)
-    return (warc.read_archives(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    return (warc.read_archives(spark, path, payload="checked").where(F.col("record_type").isin("response", "revisit"))
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
