@@ -4,16 +4,18 @@ Centroids come from spherical k-means with a size penalty on a bounded sample, s
 lists stay balanced. A centroid graph in memory (each linked to its nearest
 others, both ways) is searched best-first to find the lists of a vector. A vector
 near a boundary is replicated to every list almost as close as its nearest; a
-query always probes its nearest ``least_probes`` lists, and beyond them those within
-a distance ratio of its nearest list. A query for which these hold fewer than ``k``
-other ids searches all lists. Scores are exact cosines in double precision, rounded
+query always probes its nearest ``least_probes`` lists, and of the ``most_probes``
+nearest those within a distance ratio of its nearest list, however many lists there
+are. A query for which these hold fewer than ``k`` other ids searches all lists. Scores are exact cosines in double precision, rounded
 to 12 decimals, so that equal directions tie; ties go to smaller ids.
 
 Rows with equal vectors share one posting. The posting carries their smallest
 ``k + 1`` ids: equal vectors score alike and ties go to smaller ids, so no other id
 can be among anyone's ``k`` nearest, and a vector that a third of all rows share
 needs no more work than one row. A list that outgrows ``block_rows`` is split in
-blocks, each searched by its own task.
+blocks. Blocks are dealt out to shards of about ``shard_rows`` postings (``least_shards``
+of them at least); a shard keeps the best ``k + 1`` vectors of each query over all its
+blocks, and one that very many queries probe is searched by several tasks.
 
 Defined results: vectors null, empty, zero or with null or non-finite components,
 and rows with a null id, take no part as queries or candidates; of the rest only
@@ -142,16 +144,15 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-           sample: int = 20_000, list_rows: int = 96, max_lists: int = 4096, replicas: int = 4,
-           replica_ratio: float = 1.05, least_probes: int = 48, probe_share: float = 0.4, probe_ratio: float = 1.35,
-           block_rows: int = 4096) -> DataFrame:
+           sample: int = 20_000, list_rows: int = 256, max_lists: int = 4096, replicas: int = 4,
+           replica_ratio: float = 1.05, least_probes: int = 48, most_probes: int = 64, probe_ratio: float = 1.35,
+           block_rows: int = 4096, shard_rows: int = 65_536, least_shards: int = 32, shard_queries: int = 32_768) -> DataFrame:
     """The ``k`` nearest rows found for each row where ``is_query`` (on vec_id) holds.
 
     ``max_lists`` centroids of one dimension are what the driver and each task
-    hold; the sample that they are fitted on is bounded by ``sample`` rows. Weakly
-    clustered vectors need a share of all lists for their recall; where a query is
-    much closer to some lists than to others, ``probe_ratio`` leaves those few, but
-    never fewer than ``least_probes``.
+    hold; the sample that they are fitted on is bounded by ``sample`` rows. A query
+    probes between ``least_probes`` and ``most_probes`` lists, so the work grows with
+    the number of queries and the size of a list.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
@@ -169,51 +170,73 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     lists = int(np.clip(n // list_rows, 1, min(max_lists, max(1, len(fitted) // 8))))
     model = spark.sparkContext.broadcast(Centroids.build(balanced_kmeans(fitted, lists)))
 
-    def placed(ratio: float, least: int, most: int, extra: list[str]):
+    def placed(ratio: float, least: int, most: int, kept: list[str]):
         def run(batches):
             for pdf in batches:
                 if len(pdf):
                     row, of = model.value.lists(unit(np.stack(pdf["vec"])), ratio, least, most, beam=most + 16)
-                    yield pd.DataFrame({"list": of, **{c: pdf[c].to_numpy()[row] for c in ["key", "vec", *extra]}})
+                    yield pd.DataFrame({"list": of, **{c: pdf[c].to_numpy()[row] for c in kept}})
         return run
 
-    indexed = stage(postings.mapInPandas(placed(replica_ratio, 1, replicas, ["ids"]),
+    indexed = stage(postings.mapInPandas(placed(replica_ratio, 1, replicas, ["key", "vec", "ids"]),
                                          "list int, key long, vec array<double>, ids array<long>"), "lists")
     sizes = {r["list"]: r["count"] for r in indexed.groupBy("list").count().collect()}      # at most max_lists rows
     split = [max(1, -(-sizes.get(i, 0) // block_rows)) for i in range(lists)]
+    shards = max(least_shards, -(-sum(sizes.values()) // shard_rows))
     n_blocks = F.element_at(F.array(*map(F.lit, split)), F.col("list") + 1)
-    asked = queries.groupBy("vec").agg(F.min("vec_id").alias("key"))
-    probing = asked.mapInPandas(placed(probe_ratio, least_probes, max(least_probes, int(probe_share * lists)), []),
-                                "list int, key long, vec array<double>")
-    indexed = indexed.withColumn("block", F.pmod(F.xxhash64("key"), n_blocks).cast("int"))
+    cell = (F.col("list").cast("long") * (1 << 32) + F.col("block")).alias("cell")
+    shard = F.pmod(F.xxhash64("cell"), F.lit(shards)).cast("int").alias("shard")
+    asked = stage(queries.groupBy("vec").agg(F.min("vec_id").alias("key")), "asked")
+    spread = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
+    probing = spread.mapInPandas(placed(probe_ratio, least_probes, max(least_probes, most_probes), ["key"]), "list int, key long")
+    indexed = (indexed.withColumn("block", F.pmod(F.xxhash64("key"), n_blocks).cast("int"))
+               .select(cell, "key", "vec", "ids").select("*", shard))
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Of one block: the best ``k + 1`` vectors of each probing query, exactly scored."""
+        """Of one shard: the best ``k + 1`` vectors of each probing query, exactly scored."""
         out = {"key": [], "score": [], "ids": []}
         if len(left) and len(right):
-            p = np.stack(right["vec"])
+            once = right.drop_duplicates("key").reset_index(drop=True)          # a vector may be in several lists
+            p = np.stack(once["vec"])
             p_norm = np.sqrt((p * p).sum(axis=1))
-            ids, smallest = right["ids"].to_numpy(), right["key"].to_numpy()
-            for key, vec in zip(left["key"], left["vec"]):
-                rough, norm = p @ vec / p_norm, np.sqrt((vec * vec).sum())
-                top = np.arange(len(p))
-                if len(p) > k + 1:                   # with all that may tie with the last place
-                    margin = norm * (2e-12 + 4 * len(vec) * np.finfo(float).eps)
-                    top = np.flatnonzero(rough >= np.partition(rough, -k - 1)[-k - 1] - margin)
-                score = np.round((p[top] * vec).sum(axis=1) / (norm * p_norm[top]), 12)
-                best = np.lexsort((smallest[top], -score))[:k + 1]
-                out["key"] += [key] * len(best)
-                out["score"] += score[best].tolist()
-                out["ids"] += ids[top[best]].tolist()
+            ids, smallest = once["ids"].to_numpy(), once["key"].to_numpy()
+            place = pd.Series(np.arange(len(once)), index=smallest)
+            members = {c: place[keys].to_numpy() for c, keys in right.groupby("cell")["key"]}
+            step = max(1, 4_000_000 // len(p))
+            for a in range(0, len(left), step):
+                part = left.iloc[a:a + step]
+                vecs = np.stack(part["vec"])
+                probed = part["cells"].explode()
+                probed.index = np.repeat(np.arange(len(part)), part["cells"].str.len())
+                rough = np.full((len(part), len(p)), -np.inf)
+                for c, of in probed.groupby(probed).groups.items():
+                    if c in members:
+                        at, mine = np.asarray(of), members[c]
+                        rough[np.ix_(at, mine)] = vecs[at] @ p[mine].T / p_norm[mine]
+                for key, vec, row in zip(part["key"], vecs, rough):
+                    top, norm = np.flatnonzero(row > -np.inf), np.sqrt((vec * vec).sum())
+                    if len(top) > k + 1:             # with all that may tie with the last place
+                        margin = norm * (2e-12 + 4 * len(vec) * np.finfo(float).eps)
+                        top = top[row[top] >= np.partition(row, -k - 1)[-k - 1] - margin]
+                    score = np.round((p[top] * vec).sum(axis=1) / (norm * p_norm[top]), 12)
+                    best = np.lexsort((smallest[top], -score))[:k + 1]
+                    out["key"] += [key] * len(best)
+                    out["score"] += score[best].tolist()
+                    out["ids"] += ids[top[best]].tolist()
         out["ids"] = pd.Series(out["ids"], dtype=object)     # also where there are none
         return pd.DataFrame(out)
 
     first = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
 
     def scanned(probing: DataFrame) -> DataFrame:
-        """The best ``k + 1`` ids of each key in the lists that it probes."""
-        probing = probing.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        found = (probing.groupBy("list", "block").cogroup(indexed.groupBy("list", "block"))
+        """The best ``k + 1`` ids of each key in the lists that it probes (``list, key``)."""
+        cells = (probing.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1))).select("key", cell).select("*", shard)
+                 .groupBy("shard", "key").agg(F.collect_list("cell").alias("cells")))
+        probes = stage(cells.join(asked, "key"), "probes")
+        parts = probes.groupBy("shard").agg(F.ceil(F.count("*") / shard_queries).cast("int").alias("parts"))
+        left = probes.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
+        right = indexed.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        found = (left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part"))
                  .applyInPandas(nearest, "key long, score double, ids array<long>"))
         return (found.select("key", "score", F.explode("ids").alias("vec_id")).groupBy("key", "vec_id")
                 .agg(F.max("score").alias("score")).withColumn("place", F.row_number().over(first))
@@ -221,7 +244,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
 
     best = stage(scanned(probing), "best")
     full = best.groupBy("key").count().where(F.col("count") > k).select("key")
-    short = stage(asked.join(full, "key", "left_anti").select("key", "vec"), "short")
+    short = stage(asked.join(full, "key", "left_anti").select("key"), "short")
     if not short.isEmpty():                          # too few ids in the probed lists: search all
         every = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(lists - 1))))
         best = best.join(short.select("key"), "key", "left_anti").unionByName(scanned(every))

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +99,25 @@ def test_ties_beyond_the_block_cut_go_to_smaller_ids(spark):
     for r in ann.search(table, F.col("vec_id") % 5 == 0, least_probes=99).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     same(got, brute(rows, 5, 5))
+
+
+def test_recall_where_lists_are_left_out(spark):
+    """About 50,000 vectors without clear groups: a third of all lists is probed."""
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(50_000, 24)) + rng.normal(size=(40, 24))[rng.integers(0, 40, 50_000)]).astype(np.float32)
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}), "vec_id long, embedding array<float>").repartition(8)
+    got = {}
+    for r in ann.search(table, F.col("vec_id") % 500 == 0, sample=5000).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    recall = []
+    for q in range(0, len(x), 500):
+        near = np.argsort(-(u @ u[q]), kind="stable")
+        recall.append(len(got[q] & set(near[near != q][:5].tolist())) / 5)
+    assert len(got) == 100 and np.mean(recall) >= 0.9
+
+
+def test_a_shard_that_many_queries_probe_is_split(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, tuple(map(float, rng.normal(size=5).astype(np.float32))), "") for i in range(400)]
+    same(found(spark, rows, every=2, list_rows=20, least_probes=99, shard_rows=30, least_shards=1, shard_queries=7), brute(rows, 2, 5))
