@@ -147,10 +147,10 @@ WITH u AS (SELECT page_id, coalesce(url, '') AS url,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 t AS (SELECT *, list_sort(list_distinct(list_concat(
     list_transform(list_filter([lower(regexp_extract(url, '^([A-Za-z]+)://', 1))], lambda x: x <> ''), lambda x: 's:' || x),
-    list_transform(list_filter(string_split(host, '.'), lambda x: x <> '' AND NOT regexp_matches(x, '[0-9]')), lambda x: 'h:' || x),
-    list_transform(list_filter(string_split(path, '/'), lambda x: x <> '' AND NOT regexp_matches(x, '[0-9]')), lambda x: 'p:' || x),
-    list_transform(list_filter([regexp_extract(path, '\.([A-Za-z]+)$', 1)], lambda x: x <> ''), lambda x: 'x:' || x),
-    list_transform(regexp_extract_all(url, '[?&]([A-Za-z_]+)=', 1), lambda x: 'q:' || x)))) AS tokens FROM u),
+    list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x),
+    list_transform(list_filter(string_split(path, '/'), lambda x: x <> '' AND NOT regexp_matches(x, '^[0-9]+(\.[A-Za-z0-9]+)?$')), lambda x: 'p:' || x),
+    list_transform(list_filter([regexp_extract(path, '\.([A-Za-z0-9]*[A-Za-z][A-Za-z0-9]*)$', 1)], lambda x: x <> ''), lambda x: 'x:' || x),
+    list_transform(regexp_extract_all(url, '[?&]([^=&#]+)=', 1), lambda x: 'q:' || x)))) AS tokens FROM u),
 b AS (SELECT doc_id, min(quality) = 0 AS bad FROM labels GROUP BY 1 HAVING min(quality) IS NOT NULL),
 k AS (SELECT t.page_id, tokens, bad FROM t
       JOIN b ON b.doc_id = try_cast(regexp_extract(path, '([0-9]+)[^/0-9]*/?$', 1) AS BIGINT)),

@@ -20,7 +20,10 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payrun.llm.common import stage
+
 BAD = "label:bad"
+BROADCAST_SETS = 100_000            # matched token sets of about 200 bytes
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,19 +49,23 @@ def url_path(url: Column) -> Column:
 
 
 def url_tokens(url: Column) -> Column:
-    """Scheme, host labels, path words without digits, file extension, query keys."""
+    """Scheme, host labels, path words, file extension, query keys.
+
+    Of these only path words that are a number, with or without an extension, are left
+    out: they name a document, not a kind of page.
+    """
     url = F.coalesce(url, F.lit(""))
     path = url_path(url)
 
     def named(prefix: str, parts: Column) -> Column:
-        return F.transform(F.filter(parts, lambda x: (x != "") & ~x.rlike("[0-9]")),
-                           lambda x: F.concat(F.lit(prefix), x))
+        return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.concat(F.lit(prefix), x))
 
     scheme = F.array(F.lower(F.regexp_extract(url, "^([A-Za-z]+)://", 1)))
-    extension = F.array(F.regexp_extract(path, r"\.([A-Za-z]+)$", 1))
+    words = F.filter(F.split(path, "/"), lambda x: ~x.rlike(r"^[0-9]+(\.[A-Za-z0-9]+)?$"))
+    extension = F.array(F.regexp_extract(path, r"\.([A-Za-z0-9]*[A-Za-z][A-Za-z0-9]*)$", 1))
     return F.array_sort(F.array_distinct(F.concat(
-        named("s:", scheme), named("h:", F.split(url_host(url), r"\.")), named("p:", F.split(path, "/")),
-        named("x:", extension), named("q:", F.regexp_extract_all(url, F.lit("[?&]([A-Za-z_]+)="), 1)))))
+        named("s:", scheme), named("h:", F.split(url_host(url), r"\.")), named("p:", words),
+        named("x:", extension), named("q:", F.regexp_extract_all(url, F.lit("[?&]([^=&#]+)="), 1)))))
 
 
 def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
@@ -101,7 +108,9 @@ def judge(pages: DataFrame, labelled: DataFrame, id_col: str = "page_id", url_co
     rules = mine_rules(labelled.select(url_tokens(F.col("url")).alias("tokens"), "bad"), min_support, min_confidence)
     rows = pages.select(pages[id_col].alias("page_id"), url_host(pages[url_col]).alias("host"),
                         url_path(pages[url_col]).alias("path"), url_tokens(pages[url_col]).alias("tokens"))
-    matched = match_rules(rows.groupBy("tokens").agg(F.count("*").alias("pages")), rules)
+    matched = stage(match_rules(rows.groupBy("tokens").agg(F.count("*").alias("pages")), rules), "matched")
+    if matched.count() <= BROADCAST_SETS:           # beyond it the pages move, and Spark splits a hot set
+        matched = F.broadcast(matched)
     rule, listed = F.lit(None).cast("string"), F.lit(None).cast("string")
     for r in sorted(host_rules, key=lambda r: len(r.host + r.path)):
         fits = (((F.col("host") == r.host) | F.col("host").endswith("." + r.host)) & F.col("path").startswith(r.path))

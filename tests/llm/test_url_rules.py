@@ -1,5 +1,7 @@
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from payrun.llm import url_rules as U
 
 
@@ -50,3 +52,15 @@ def test_empty_tables_and_labels(spark):
     pages = spark.createDataFrame([(1, "http://a/en/12.html?x=3"), (2, "http://a/en/"), (3, None)], "page_id long, url string")
     labels = spark.createDataFrame([(12, 1, 0), (12, 0, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
     assert [tuple(r) for r in U.label_pages(pages, labels).collect()] == [("http://a/en/12.html?x=3", True)]
+
+
+def test_tokens_with_digits_are_mined(spark):
+    """Host labels, path words, extensions and query keys may hold digits; document numbers are no words."""
+    bad = [f"http://bet24.example.com/a/{i}.html" for i in range(40)] + [f"http://x.com/casino-2024/{i}" for i in range(40)] \
+        + [f"http://y.com/{i}.mp4" for i in range(40)] + [f"http://z.com/p?id2={i}" for i in range(40)]
+    good = [f"http://{h}.com/{i}/" for h in "wxyz" for i in range(60)]
+    got = judged(spark, ["http://bet24.example.com/q/9", "http://w.com/casino-2024/1", "http://w.com/7.mp4", "http://w.com/?id2=1", "http://w.com/24/2024"],
+                 [(u, True) for u in bad] + [(u, False) for u in good], host_rules=(), min_confidence=0.9)
+    assert [got[i].verdict for i in range(5)] == ["block"] * 4 + ["allow"]
+    tokens = spark.createDataFrame([("http://a1.b/12/x9/34.html?k-1=2&n[]=3#f",)], "u string").select(U.url_tokens(F.col("u"))).first()[0]
+    assert tokens == ["h:a1", "h:b", "p:x9", "q:k-1", "q:n[]", "s:http", "x:html"]
