@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -43,14 +43,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hash_sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:
-    """About ``rows`` rows, chosen by the hash of their id; all of a smaller table.
+def hash_sample(df: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, each text of an id once, chosen by the hash of both; all of a
+    smaller table.
 
-    The choice does not depend on partitions or order. Only the ids are counted
-    before; the sample itself is one filter.
+    The choice does not depend on partitions or order, and neither null ids, nor one id
+    on very many rows, nor many equal rows sway it. Distinct rows are counted before
+    (about); the sample itself is one filter, and never has more than twice ``rows``.
     """
-    total = df.select(id_col).count()
-    if total <= rows:
-        return df
-    share = int(rows / total * (1 << 30))
-    return df.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) < share)
+    order = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("sample"))
+    total = df.agg(F.approx_count_distinct(order)).first()[0]
+    if total > rows:
+        df = df.where(F.pmod(order, F.lit(1 << 30)) < int(rows / total * (1 << 30)))
+    return bounded(df.dropDuplicates([id_col, text_col]), order, 2 * rows)
+
+
+def bounded(df: DataFrame, order: Column, rows: int, by: str | None = None) -> DataFrame:
+    """At most ``rows`` rows (of each value of ``by``), the first ones in ``order``. One task
+    sorts those of a value: for samples, which are small already."""
+    place = F.row_number().over(Window.partitionBy(by or F.lit(0)).orderBy(order))
+    return df.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")

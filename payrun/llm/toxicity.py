@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payrun.llm.common import bounded
 from payrun.llm import wordbytes as WB
 from payrun.llm.boosting import platt, sigmoid
 
@@ -281,7 +282,8 @@ def held_out(id_col: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         per_class: int = 1200) -> ToxicityModel | None:
     """Train on about ``per_class`` labelled documents of each class, chosen by the
-    hash of their id; None without both classes."""
+    hash of their id; None without both classes. Each text of an id counts once, and
+    never more than twice ``per_class`` texts of a class come to the driver."""
     known = (labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull())
              .groupBy(labels[id_col].alias("id")).agg(F.max(label_col).alias("y")))
     seen = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -291,8 +293,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = share.otherwise(int(min(1.0, per_class / seen[0]) * (1 << 30)))
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit("toxic")), F.lit(1 << 30)) < share)
     rows = (docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where("text is not null")
-            .join(F.broadcast(chosen), "id")        # about 2 * per_class rows
-            .select("id", "y", "text").toPandas().sort_values(["id", "text"], kind="stable"))
+            .join(F.broadcast(chosen), "id").select("id", "y", "text"))         # about 2 * per_class rows, more where ids repeat
+    order = F.xxhash64("id", "text")
+    texts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.approx_count_distinct(order).alias("n")).collect()}
+    kept = F.lit(1 << 30)
+    for y, n in texts.items():
+        kept = F.when(F.col("y") == y, int(min(1.0, 2 * per_class / max(n, 1)) * (1 << 30))).otherwise(kept)
+    rows = rows.where(F.pmod(order, F.lit(1 << 30)) < kept).dropDuplicates(["id", "text"])
+    rows = bounded(rows, order, 2 * per_class, by="y").toPandas().sort_values(["id", "text"], kind="stable")
     if rows.y.nunique() < 2:
         return None
     return train(rows.text.tolist(), rows.y.to_numpy(float), seen[1] / (seen[0] + seen[1]))

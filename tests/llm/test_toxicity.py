@@ -81,3 +81,12 @@ def test_without_both_classes(spark):
 def test_held_out_rule(spark):
     rows = spark.range(40).select("id", T.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
+
+
+def test_one_id_on_many_rows_brings_a_bounded_number_of_texts(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(T, "train", lambda texts, y, prior: seen.update(texts=texts, y=y))
+    docs = spark.createDataFrame([(1, f"bad {i}") for i in range(3000)] + [(2, "good")] * 3000 + [(3, "fine")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    T.fit(docs, labels, per_class=50)
+    assert 60 < sum(seen["y"] == 1) <= 100 and sorted(t for t, y in zip(seen["texts"], seen["y"]) if y == 0) == ["fine", "good"]
