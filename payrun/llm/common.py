@@ -43,6 +43,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where.getParent(), True)
+
+
 def hash_sample(df: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
     """About ``rows`` rows, each text of an id once, chosen by the hash of both; all of a
     smaller table.

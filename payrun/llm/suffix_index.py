@@ -2,18 +2,23 @@
 
 A text's suffixes are sampled by content: of the ``GRAM``-byte strings inside each
 window of ``length`` bytes the one of least hash (the leftmost on a tie) is the
-window's anchor, so equal windows have equal anchors at the same place. A sorted
-array holds, for each sampled suffix, the hash of its gram, the hash of all windows
-around it, and the first position. Batches of documents arrive in order of doc_id:
-each gets an array of its own, is merge-scanned against the arrays of the family
-for long matches, and arrays of equal size are merged, so there are about log2 of
-the batches.
-
-A suffix whose windows all equal those of an earlier one is covered whole. Where a
-gram occurs with different surroundings, the first suffix of each is compared window
-by window with all earlier ones; grams with more than ``hot_rows`` of those are
-compared by one aggregate over all windows instead, taken partly before the shuffle.
-Every repeated window is found: nothing is capped.
+window's anchor, so equal windows have equal anchors at the same place. A suffix array
+holds the sampled suffixes in order of their first ``GRAM`` bytes (kept whole, as three
+numbers) and, below these, of a hash of all windows around the anchor.
+
+Batches of documents arrive in order of doc_id. The suffixes of a batch are sorted
+together with the arrays of the family and read once in that order (the merge scan):
+a suffix whose windows all equal those of an earlier one is covered whole; neighbours
+with equal first bytes and different surroundings are kept for a comparison of their
+texts, window by window. What is new becomes the batch's array; arrays of equal size
+are merged before the next batch comes, and the files of superseded ones are deleted,
+so there are about log2 of the batches. An array is written only if a batch follows.
+
+Hot strings: suffixes with equal surroundings are combined inside the tasks before the
+shuffle; grams with more than ``hot_rows`` different surroundings are compared by one
+aggregate over all windows, taken partly before the shuffle. Every repeated window is
+found: nothing is capped. Surroundings and windows are told apart by 64-bit hashes
+below equal grams.
 
 Defined results: null text counts as empty; texts shorter than ``length`` stay
 whole; rows with a null doc_id stay whole; rows repeated under one doc_id are taken
@@ -33,13 +38,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payrun.llm.common import stage
+from payrun.llm.common import drop_stage, new_path, stage
 from payrun.llm.hamming_dedup import runs_of_equal
 from payrun.llm.shingles import mix
 
-GRAM = 20
+GRAM = 24                       # three numbers of 8 bytes
+PREFIX = ["p1", "p2", "p3"]
+ENTRY = "p1 long, p2 long, p3 long, around long, doc_id long, at long"
+NAMES = [*PREFIX, "around", "doc_id", "at"]
 BASE = 0x9E3779B97F4A7C15
+SIGN = np.uint64(1 << 63)       # signed order of the numbers is the order of their bytes
+TIMES = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 BYTE = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.uint64)
+COMBINE = 1_000_000             # suffixes that a task combines at a time
+PART_BYTES = 64 << 20           # bytes of text behind one partition of an array
+BROADCAST_PLACES = 4_000_000    # places to compare that a task may hold as a table (8 bytes each); beyond it, a join by shuffle
 BROADCAST_CUTS = 1_000_000      # intervals that a task may hold as a table (about 16 MB); beyond it, a join by shuffle
 
 
@@ -58,65 +71,183 @@ class Powers:
         return self
 
 
-def sampled_suffixes(data: np.ndarray, length: int, powers: Powers):
-    """(key, windows' hash, place, first and last window from the place) of a text."""
+def sampled_suffixes(data: np.ndarray, length: int, powers: Powers) -> tuple[np.ndarray, ...]:
+    """First bytes (three numbers), windows' hash and packed place of a text's sampled suffixes.
+
+    The place holds the anchor's position and how far its first and last window start before it.
+    """
     n = len(data)
     p = powers.upto(n)
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[data] * p.up[:n])])
-    gram = mix((prefix[GRAM:] - prefix[:-GRAM]) * p.down[:n - GRAM + 1])
-    low, at = gram, np.arange(len(gram), dtype=np.int32)
+    word = data.astype(np.uint64)
+    for step in (1, 2, 4):
+        word = (word[:-step] << np.uint64(8 * step)) | word[step:]
+    m = n - GRAM + 1
+    low = word[:m] * TIMES[0] + word[8:8 + m] * TIMES[1] + word[16:16 + m] * TIMES[2]
+    low ^= low >> np.uint64(29)
+    low *= np.uint64(BASE)
+    low &= np.uint64(0xFFFFFFFF00000000)
+    low |= np.arange(m, dtype=np.uint64)
     reach, need = 1, length - GRAM + 1
     while reach < need:
         shift = min(reach, need - reach)
-        left = low[:-shift] <= low[shift:]
-        low, at = np.where(left, low[:-shift], low[shift:]), np.where(left, at[:-shift], at[shift:])
+        low = np.minimum(low[:-shift], low[shift:])
         reach += shift
+    at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
     last = np.concatenate([first[1:], [len(at)]]) - 1
     place = at[first]
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[data] * p.up[:n])])
     around = mix((prefix[last + length] - prefix[first]) * p.down[first] + (place - first).astype(np.uint64) * np.uint64(BASE)
                  + (last - first).astype(np.uint64))
-    return gram[place], around, place, first - place, last - place
+    numbers = [(word[place + i] ^ SIGN).view(np.int64) for i in (0, 8, 16)]
+    return *numbers, around.view(np.int64), (place << 16) | ((place - first) << 8) | (place - last)
+
+
+def bounds(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the bytes that the windows of a packed place cover."""
+    place = at >> 16
+    return place - ((at >> 8) & 255), place - (at & 255) + length
+
+
+def merged_intervals(doc_id: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Overlapping and touching intervals of a document as one."""
+    order = np.lexsort((end, start, doc_id))
+    doc_id, start, end = doc_id[order], start[order], end[order]
+    if not len(start):
+        return doc_id, start, end
+    owner = np.cumsum(np.concatenate([[0], doc_id[1:] != doc_id[:-1]]))
+    wide = int(end.max()) + 1
+    reach = np.maximum.accumulate(owner * wide + end) - owner * wide      # of one document: the next begins above it
+    cut = np.flatnonzero((owner[1:] != owner[:-1]) | (start[1:] > reach[:-1])) + 1
+    first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(start)]]) - 1
+    return doc_id[first], start[first], reach[last]
+
+
+def interval_rows(doc_id: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Intervals in the columns of suffixes: their place is -1, their partition follows the document."""
+    doc_id, start, end = merged_intervals(doc_id, start, end)
+    return [mix(doc_id.view(np.uint64)).view(np.int64), start, end, np.zeros_like(doc_id), doc_id, np.full_like(doc_id, -1)]
+
+
+def combined(cols: list[np.ndarray], length: int) -> list[np.ndarray]:
+    """Of suffixes with equal surroundings the first; the others as intervals, which they repeat for sure."""
+    p1, p2, p3, around, doc_id, at = cols
+    key = mix(around.view(np.uint64) + mix(p1.view(np.uint64) ^ mix(p2.view(np.uint64) ^ mix(p3.view(np.uint64)))))
+    order = np.lexsort((at, doc_id, key))
+    cols = [c[order] for c in cols]
+    start = np.ones(len(order), bool)
+    start[1:] = np.any([c[1:] != c[:-1] for c in cols[:4]], axis=0)
+    head = np.flatnonzero(start)[np.cumsum(start) - 1]
+    doc_id, at = cols[4:]
+    again = (doc_id != doc_id[head]) | (at != at[head])
+    rest = interval_rows(doc_id[again], *bounds(at[again], length))
+    return [np.concatenate([c[start], r]) for c, r in zip(cols, rest)]
 
 
 def suffixes(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        names = ["key", "around", "doc_id", "pos", "lo", "hi"]
+        powers, parts, held = Powers(), [], 0
+
+        def flush() -> pa.RecordBatch:
+            cols = combined([np.concatenate(c) for c in zip(*parts)], length)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], NAMES)
+
         for batch in batches:
-            parts = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = np.frombuffer(text.as_buffer() or b"", np.uint8)
                 if len(data) >= length:
-                    key, around, place, lo, hi = sampled_suffixes(data, length, powers)
-                    parts.append((key.view(np.int64), around.view(np.int64), np.full(len(key), doc_id), place, lo, hi))
-            if parts:
-                cols = [np.concatenate(c) for c in zip(*parts)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.int32()] * 3)], names)
+                    *numbers, around, at = sampled_suffixes(data, length, powers)
+                    parts.append((*numbers, around, np.full(len(at), doc_id), at))
+                    held += len(at)
+                    if held >= COMBINE:
+                        yield flush()
+                        parts, held = [], 0
+        if parts:
+            yield flush()
 
-    return docs.mapInArrow(run, "key long, around long, doc_id long, pos int, lo int, hi int")
+    return docs.mapInArrow(run, ENTRY)
 
 
-def with_bytes(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """Adds the bytes of all windows around each suffix; a text is read once for all of its suffixes."""
-    kind = pa.list_(pa.struct([("key", pa.int64()), ("pos", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("rows", pa.int64()), ("new", pa.bool_())]))
+KIND = "kind tinyint"
+NEW, MIXED, OLD_MIXED, COVERED = 0, 1, 2, 3
+
 
+def merge_scan(rows: DataFrame, low: int, length: int) -> DataFrame:
+    """Reads sorted suffixes once: ``kind`` tells what a row is.
+
+    NEW and MIXED are first suffixes of the batch, those from doc_id ``low`` on; MIXED and
+    OLD_MIXED have a neighbour with equal first bytes and other surroundings; COVERED are intervals.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(cols: list[np.ndarray], kind: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(kind, pa.int8())], [*NAMES, "kind"])
+
+        def firsts(cols: list[np.ndarray], mixed: np.ndarray) -> pa.RecordBatch:
+            new = cols[4] >= low
+            keep = new | mixed
+            kind = np.where(new, np.where(mixed, MIXED, NEW), OLD_MIXED)[keep]
+            return rows_of([c[keep] for c in cols], kind)
+
+        held, held_mixed = None, False          # first suffix of the last run, whose right neighbour is not known yet
         for batch in batches:
-            lists = batch.column("at").cast(kind)
-            flat = lists.flatten()
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            pos, lo, hi = (flat.field(c).to_numpy() for c in ("pos", "lo", "hi"))
-            texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
-            body = [texts[o][a:b] for o, a, b in zip(owner, pos + lo, pos + hi + length)]
-            yield pa.RecordBatch.from_arrays(
-                [flat.field("key"), batch.column("doc_id").take(pa.array(owner)), flat.field("pos"), flat.field("lo"),
-                 flat.field("hi"), flat.field("rows"), flat.field("new"), pa.array(body, pa.binary())],
-                ["key", "doc_id", "pos", "lo", "hi", "rows", "new", "body"])
-
-    by_doc = rows.groupBy("doc_id").agg(F.collect_list(F.struct("key", "pos", "lo", "hi", "rows", "new")).alias("at"))
+            cols = [c.to_numpy() for c in batch.columns]
+            ready = cols[5] < 0
+            if ready.any():
+                yield rows_of([c[ready] for c in cols], np.full(int(ready.sum()), COVERED))
+                cols = [c[~ready] for c in cols]
+            if held is not None:
+                cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+            if not len(cols[0]):
+                continue
+            other = np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)
+            start = np.concatenate([[True], other | (cols[3][1:] != cols[3][:-1])])
+            place = np.flatnonzero(start)
+            head = place[np.cumsum(start) - 1]
+            doc_id, at = cols[4:]
+            again = ((doc_id != doc_id[head]) | (at != at[head])) & (doc_id >= low)
+            if again.any():
+                rest = interval_rows(doc_id[again], *bounds(at[again], length))
+                yield rows_of(rest, np.full(len(rest[0]), COVERED))
+            near = ~np.concatenate([[True], other])[place]          # equal first bytes as the run before
+            mixed = near.copy()
+            mixed[:-1] |= near[1:]
+            mixed[0] |= held_mixed
+            yield firsts([c[place[:-1]] for c in cols], mixed[:-1])
+            held, held_mixed = [c[place[-1:]] for c in cols], bool(mixed[-1])
+        if held is not None:
+            yield firsts(held, np.array([held_mixed]))
+
+    return rows.mapInArrow(run, f"{ENTRY}, {KIND}")
+
+
+def with_bytes(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+    """The bytes of all windows around each suffix of ``rows`` (doc_id, at, new); a text is read once for all of its suffixes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {"key": [], "doc_id": [], "pos": [], "lo": [], "new": [], "body": []}
+            for doc_id, text, packed in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("at")):
+                data, packed = text.as_buffer().to_pybytes(), packed.values.to_numpy()
+                at = packed >> 1
+                start, end = bounds(at, length)
+                fits = end <= len(data)         # rows repeated under one doc_id may have other texts
+                at, start, end = at[fits], start[fits], end[fits]
+                gram = np.frombuffer(b"".join(data[p:p + GRAM] for p in at >> 16), np.uint64).reshape(-1, 3)
+                out["key"].append(mix(gram[:, 0] ^ mix(gram[:, 1] ^ mix(gram[:, 2]))).view(np.int64))
+                out["doc_id"].append(np.full(len(at), doc_id))
+                out["pos"].append(at >> 16)
+                out["lo"].append(start - (at >> 16))
+                out["new"].append((packed[fits] & 1).astype(bool))
+                out["body"].extend(data[a:b] for a, b in zip(start, end))
+            if out["key"]:
+                flat = [np.concatenate(out[c]) for c in ("key", "doc_id", "pos", "lo", "new")]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(flat, kinds)), pa.array(out["body"], pa.binary())], list(out))
+
+    by_doc = rows.groupBy("doc_id").agg(F.collect_list(F.col("at") * 2 + F.col("new").cast("long")).alias("at"))
+    if rows.count() <= BROADCAST_PLACES:
+        by_doc = F.broadcast(by_doc)
     return (docs.join(by_doc, "doc_id").select("doc_id", "text", "at")
-            .mapInArrow(run, "key long, doc_id long, pos int, lo int, hi int, rows long, new boolean, body binary"))
+            .mapInArrow(run, "key long, doc_id long, pos int, lo int, new boolean, body binary"))
 
 
 def window_hashes(pdf: pd.DataFrame, length: int, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,44 +282,57 @@ INTERVAL = "doc_id long, start int, end int"
 class SuffixFamily:
     """Arrays of the batches so far; ``add`` gives the intervals that a batch repeats."""
 
-    def __init__(self, length: int = 100, hot_rows: int = 20_000):
-        self.length, self.hot_rows = length, hot_rows
-        self.levels: list[tuple[int, DataFrame]] = []
+    def __init__(self, length: int = 100, hot_rows: int = 20_000, partitions: int = 8):
+        self.length, self.hot_rows, self.partitions = length, hot_rows, partitions
+        self.levels: list[tuple[int, str, DataFrame]] = []
         self.seen: DataFrame | None = None
 
-    def add(self, docs: DataFrame) -> DataFrame:
-        """Intervals (doc_id, start, end) of ``docs`` (doc_id, text) that occur earlier:
-        in an earlier batch, a smaller doc_id of this one, or further left."""
-        entries = suffixes(docs, self.length)       # a plain scan, cheaper to run again than to keep
-        own = stage(entries.groupBy("key", "around").agg(F.min(F.struct("doc_id", "pos", "lo", "hi")).alias("first"), F.count("*").alias("n"))
-                    .select("key", "around", "first.*", "n").sortWithinPartitions("key", "around"), "array")
+    def add(self, docs: DataFrame, more: bool = True) -> DataFrame:
+        """Intervals (doc_id, start, end) of ``docs`` (doc_id, text) that occur earlier: in an
+        earlier batch, a smaller doc_id of this one, or further left. Its doc_ids are greater
+        than those before. ``more``: whether another batch may follow, which needs the array."""
+        low = docs.agg(F.min("doc_id")).first()[0]
+        rows = suffixes(docs, self.length)
+        for _, _, level in self.levels:
+            rows = rows.union(level)
+        scanned = merge_scan(self._ordered(rows), -(1 << 63) if low is None else low, self.length)
+        path = new_path(docs.sparkSession, "array")
+        scanned.where("true" if more else f"kind <> {NEW}").write.parquet(path)
+        scanned = docs.sparkSession.read.schema(scanned.schema).parquet(path)
         self.seen = docs if self.seen is None else self.seen.union(docs)
-        found = self._scan(entries, own)
-        self.levels.append((1, own.drop("n")))
-        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
-            (size, a), (_, b) = self.levels.pop(), self.levels.pop()
-            merged = (a.union(b).groupBy("key", "around").agg(F.min(F.struct("doc_id", "pos", "lo", "hi")).alias("first"))
-                      .select("key", "around", "first.*").sortWithinPartitions("key", "around"))
-            self.levels.append((2 * size, stage(merged, "array")))
+        found = self._compared(scanned)
+        if more:
+            self.levels.append((1, path, scanned.where(F.col("kind").isin(NEW, MIXED)).drop("kind")))
+            self._merge_levels()
+        else:
+            drop_stage(docs.sparkSession, path)
         return found
 
-    def _scan(self, entries: DataFrame, own: DataFrame) -> DataFrame:
+    def _ordered(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.partitions, *PREFIX).sortWithinPartitions(*NAMES)
+
+    def _merge_levels(self) -> None:
+        """Levels share no suffix with equal surroundings, so a merge is their union in order."""
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (size, path_a, a), (_, path_b, b) = self.levels.pop(), self.levels.pop()
+            spark, path = a.sparkSession, new_path(a.sparkSession, "array")
+            self._ordered(a.union(b)).write.parquet(path)
+            self.levels.append((2 * size, path, spark.read.schema(ENTRY).parquet(path)))
+            drop_stage(spark, path_a)
+            drop_stage(spark, path_b)
+
+    def _compared(self, scanned: DataFrame) -> DataFrame:
         length, hot_rows = self.length, self.hot_rows
-        rows = own.select("key", "around", "doc_id", "pos", "lo", "hi", "n", F.lit(True).alias("new"))
-        for _, level in self.levels:
-            rows = rows.union(level.select("key", "around", "doc_id", "pos", "lo", "hi", F.lit(1).alias("n"), F.lit(False).alias("new")))
-        firsts = own.where("n > 1").select("key", "around", F.col("doc_id").alias("first_doc"), F.col("pos").alias("first_pos"))
-        for _, level in self.levels:        # what an older array holds is earlier than all of this batch
-            older = own.select("key", "around").join(level, ["key", "around"])
-            firsts = firsts.union(older.select("key", "around", "doc_id", "pos"))
-        firsts = (firsts.groupBy("key", "around").agg(F.min(F.struct("first_doc", "first_pos")).alias("first"))
-                  .select("key", "around", "first.*"))
-        later = (F.col("doc_id") > F.col("first_doc")) | ((F.col("doc_id") == F.col("first_doc")) & (F.col("pos") > F.col("first_pos")))
-        whole = (entries.join(firsts, ["key", "around"]).where(later)
-                 .select("doc_id", (F.col("pos") + F.col("lo")).alias("start"), (F.col("pos") + F.col("hi") + length).alias("end")))
-        mixed = (rows.groupBy("key").agg(F.min("around").alias("a"), F.max("around").alias("b"), F.max("new").alias("any_new"), F.count("*").alias("rows"))
-                 .where("a <> b and any_new").select("key", "rows"))
-        compared = stage(with_bytes(rows.join(mixed, "key"), self.seen, length), "compared")
+        whole = scanned.where(F.col("kind") == COVERED).select("doc_id", F.col("p2").cast("int").alias("start"), F.col("p3").cast("int").alias("end"))
+        mixed = scanned.where(F.col("kind").isin(MIXED, OLD_MIXED)).select(*PREFIX, "doc_id", "at", (F.col("kind") == MIXED).alias("new"))
+        grams = mixed.groupBy(*PREFIX).agg(F.max("new").alias("any_new"), F.count("*").alias("rows"))
+        if self.levels:         # grams without a suffix of this batch were compared before
+            mixed = mixed.join(grams.where("any_new").select(*PREFIX), PREFIX, "left_semi")
+        hot_grams = grams.where((F.col("rows") > hot_rows) & F.col("any_new")).select(*PREFIX)
+        cool, hot = mixed, None
+        if not hot_grams.isEmpty():
+            hot_grams = stage(hot_grams, "hot")
+            cool, hot = mixed.join(hot_grams, PREFIX, "left_anti"), mixed.join(hot_grams, PREFIX, "left_semi")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             powers, held = Powers(), []
@@ -225,13 +369,14 @@ class SuffixFamily:
                          pa.array((pdf["pos"].to_numpy()[row] + offset).astype(np.int32)), pa.array(pdf["new"].to_numpy()[row])],
                         ["hash", "doc_id", "start", "new"])
 
-        cool = (compared.where(F.col("rows") <= hot_rows).repartition("key").sortWithinPartitions("key", "doc_id", "pos")
-                .mapInArrow(compare, INTERVAL))
-        hot = compared.where(F.col("rows") > hot_rows).mapInArrow(windows, "hash long, doc_id long, start int, new boolean")
-        first = hot.groupBy("hash").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-        again = (hot.join(first, "hash").where(F.col("new") & (F.struct("doc_id", "start") > F.col("first")))
-                 .select("doc_id", "start", (F.col("start") + length).alias("end")))
-        return stage(whole.union(cool).union(again), "intervals")
+        found = whole.union(with_bytes(cool.drop(*PREFIX), self.seen, length).repartition(self.partitions, "key")
+                            .sortWithinPartitions("key", "doc_id", "pos").mapInArrow(compare, INTERVAL))
+        if hot is not None:
+            places = with_bytes(hot.drop(*PREFIX), self.seen, length).mapInArrow(windows, "hash long, doc_id long, start int, new boolean")
+            first = places.groupBy("hash").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+            found = found.union(places.join(first, "hash").where(F.col("new") & (F.struct("doc_id", "start") > F.col("first")))
+                                .select("doc_id", "start", (F.col("start") + length).alias("end")))
+        return stage(found, "intervals")
 
 
 def batches_of(docs: DataFrame, batches: int) -> list[DataFrame]:
@@ -242,30 +387,48 @@ def batches_of(docs: DataFrame, batches: int) -> list[DataFrame]:
             for a, b in zip(edges, edges[1:])]
 
 
+def merged_cuts(found: DataFrame) -> DataFrame:
+    """One row per document: starts and ends of its removed runs, in turn."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = []
+            for packed in batch.column("cut"):
+                packed = packed.values.to_numpy()
+                _, start, end = merged_intervals(np.zeros_like(packed), packed >> 32, packed & 0xFFFFFFFF)
+                cut.append(np.stack([start, end], axis=1).ravel())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(cut, pa.list_(pa.int64()))], ["doc_id", "cut"])
+
+    packed = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("end").cast("long"))
+    return found.groupBy("doc_id").agg(F.collect_set(packed).alias("cut")).mapInArrow(run, "doc_id long, cut array<long>")
+
+
 def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 2, hot_rows: int = 20_000, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining bytes of every document."""
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     known = texts.where("doc_id is not null")
-    family, found = SuffixFamily(length, hot_rows), None
-    for part in batches_of(known, batches):
-        intervals = family.add(part)
+    size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    partitions = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+    family, found = SuffixFamily(length, hot_rows, partitions), None
+    parts = batches_of(known, batches)
+    for i, part in enumerate(parts):
+        intervals = family.add(part, more=i + 1 < len(parts))
         found = intervals if found is None else found.union(intervals)
-    by_doc = stage(found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("cut")), "cuts")
-    if (by_doc.agg(F.sum(F.size("cut"))).first()[0] or 0) <= BROADCAST_CUTS:
+    for _, path, _ in family.levels:
+        drop_stage(docs.sparkSession, path)
+    by_doc = stage(merged_cuts(found), "cuts")
+    if (by_doc.agg(F.sum(F.size("cut"))).first()[0] or 0) <= 2 * BROADCAST_CUTS:
         by_doc = F.broadcast(by_doc)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
             for text, cuts in zip(batch.column("text"), batch.column("cut").to_pylist()):
-                data = text.as_buffer().to_pybytes()
-                kept, at, spans = [], 0, 0
-                for a, b in sorted((c["start"], min(c["end"], len(data))) for c in cuts or ()):
-                    if a > at or not spans:
+                data, kept, at, spans = text.as_buffer().to_pybytes(), [], 0, 0
+                for a, b in zip((cuts or [])[::2], (cuts or [])[1::2]):
+                    if a < len(data):           # rows repeated under one doc_id may have other texts
                         kept.append(data[at:a])
-                        spans += 1
-                    at = max(at, b)
+                        at, spans = min(b, len(data)), spans + 1
                 body = b"".join(kept) + data[at:]
                 for name, value in zip(out, (len(data), len(data) - len(body), spans, hashlib.sha256(body).hexdigest(), body)):
                     out[name].append(value)

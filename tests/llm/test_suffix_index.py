@@ -61,7 +61,7 @@ def test_levels_merge_geometrically(spark):
     sizes = []
     for i in range(5):
         family.add(docs.where(f"doc_id = {i}"))
-        sizes.append([n for n, _ in family.levels])
+        sizes.append([n for n, _, _ in family.levels])
     assert sizes == [[1], [2], [2, 1], [4], [4, 1]]
 
 
