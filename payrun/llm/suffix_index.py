@@ -402,7 +402,7 @@ def merged_cuts(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_set(packed).alias("cut")).mapInArrow(run, "doc_id long, cut array<long>")
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 2, hot_rows: int = 20_000, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 4, hot_rows: int = 20_000, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining bytes of every document."""
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import pytest
@@ -49,7 +50,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("batches, hot_rows", [(1, 20_000), (4, 20_000), (3, 2)])
+@pytest.mark.parametrize("batches, hot_rows", [(1, 20_000), (4, 20_000), (3, 2), (16, 20_000)])
 def test_equal_to_brute_force(spark, batches, hot_rows):
     rows = corpus(batches)
     assert run(spark, rows, batches=batches, hot_rows=hot_rows) == brute(rows, 100)
@@ -71,3 +72,25 @@ def test_empty_and_repeated_rows(spark):
     same = "one two three " * 10
     got = run(spark, [(1, same), (1, same), (None, same), (2, same)], batches=1)
     assert got[2][1] == len(same) and got[None][1] == 0 and got[1] == brute([(1, same)], 100)[1]
+
+
+def test_very_long_text(spark):
+    rng = random.Random(7)
+    long = "".join(rng.choices("abcdefgh ", k=250_000))
+    rows = [(1, long), (2, "x" + long[1_000:1_099]), (3, "y" + long[200_000:200_100] + "z"), (4, long[5:] + long[:90]), (5, "é" * 60_000)]
+    assert run(spark, rows) == brute(rows, 100)
+
+
+def test_arrays_are_in_byte_order_and_superseded_ones_are_deleted(spark):
+    family = S.SuffixFamily()
+    paths = []
+    for i in range(3):
+        family.add(spark.createDataFrame([(i, f"{i} word " * 60)], "doc_id long, text string"))
+        paths.append(family.levels[-1][1])
+    assert [n for n, _, _ in family.levels] == [2, 1]
+    assert not os.path.exists(paths[0]) and os.path.exists(paths[1]) and os.path.exists(paths[2])
+    rows = [(r.p1, r.p2, r.p3, r.around) for r in S.suffixes(spark.createDataFrame([(1, "some words of a text " * 3 + "é" * 90)], "doc_id long, text string"), 100)
+            .where("at >= 0").sort(*S.NAMES).collect()]
+    texts = [b"".join(((p ^ (-1 << 63)) & (2**64 - 1)).to_bytes(8, "big") for p in r[:3]) for r in rows]
+    whole = ("some words of a text " * 3 + "é" * 90).encode()
+    assert texts == sorted(texts) and all(t in whole for t in texts)
