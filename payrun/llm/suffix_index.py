@@ -50,7 +50,7 @@ BASE = 0x9E3779B97F4A7C15
 SIGN = np.uint64(1 << 63)       # signed order of the numbers is the order of their bytes
 TIMES = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 BYTE = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.uint64)
-COMBINE = 1_000_000             # suffixes that a task combines at a time
+COMBINE = 400_000             # suffixes that a task combines at a time
 PART_BYTES = 64 << 20           # bytes of text behind one partition of an array
 BROADCAST_PLACES = 4_000_000    # places to compare that a task may hold as a table (8 bytes each); beyond it, a join by shuffle
 BROADCAST_CUTS = 1_000_000      # intervals that a task may hold as a table (about 16 MB); beyond it, a join by shuffle
