@@ -5,6 +5,7 @@ import random
 import pytest
 
 from payrun.llm import suffix_index as S
+from payrun.llm.queries import op6_suffix_index
 
 SCHEMA = "doc_id long, text string, cut string"
 
@@ -94,3 +95,11 @@ def test_arrays_are_in_byte_order_and_superseded_ones_are_deleted(spark):
     texts = [b"".join(((p ^ (-1 << 63)) & (2**64 - 1)).to_bytes(8, "big") for p in r[:3]) for r in rows]
     whole = ("some words of a text " * 3 + "é" * 90).encode()
     assert texts == sorted(texts) and all(t in whole for t in texts)
+
+
+def test_registered_query_on_a_given_table(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    got = op6_suffix_index(spark, sf_dir)
+    assert got.dtypes == [("doc_id", "bigint"), ("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string")]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == brute([tuple(d) for d in docs], 100)
