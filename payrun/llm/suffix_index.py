@@ -50,7 +50,8 @@ BASE = 0x9E3779B97F4A7C15
 SIGN = np.uint64(1 << 63)       # signed order of the numbers is the order of their bytes
 TIMES = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 BYTE = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.uint64)
-COMBINE = 400_000             # suffixes that a task combines at a time
+COMBINE = 100_000               # suffixes that a task combines at a time, at least
+COMPARE = 5_000                 # suffixes whose windows a task compares at a time, at least
 PART_BYTES = 64 << 20           # bytes of text behind one partition of an array
 BROADCAST_PLACES = 4_000_000    # places to compare that a task may hold as a table (8 bytes each); beyond it, a join by shuffle
 BROADCAST_CUTS = 1_000_000      # intervals that a task may hold as a table (about 16 MB); beyond it, a join by shuffle
@@ -144,7 +145,7 @@ def combined(cols: list[np.ndarray], length: int) -> list[np.ndarray]:
     return [np.concatenate([c[start], r]) for c, r in zip(cols, rest)]
 
 
-def suffixes(docs: DataFrame, length: int) -> DataFrame:
+def suffixes(docs: DataFrame, length: int, combine: int = COMBINE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, parts, held = Powers(), [], 0
 
@@ -159,7 +160,7 @@ def suffixes(docs: DataFrame, length: int) -> DataFrame:
                     *numbers, around, at = sampled_suffixes(data, length, powers)
                     parts.append((*numbers, around, np.full(len(at), doc_id), at))
                     held += len(at)
-                    if held >= COMBINE:
+                    if held >= combine:
                         yield flush()
                         parts, held = [], 0
         if parts:
@@ -352,7 +353,7 @@ class SuffixFamily:
             for group in runs_of_equal(batches, ["key"]):
                 held.append(group)
                 size += len(group)
-                if size >= 20_000:
+                if size >= COMPARE:
                     yield flush()
                     size = 0
             if held:

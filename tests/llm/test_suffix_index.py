@@ -103,3 +103,10 @@ def test_registered_query_on_a_given_table(spark):
     assert got.dtypes == [("doc_id", "bigint"), ("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string")]
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     assert {r[0]: tuple(r)[1:] for r in got.collect()} == brute([tuple(d) for d in docs], 100)
+
+
+def test_combining_more_often_keeps_every_first_suffix(spark):
+    docs = spark.createDataFrame(corpus(5)[:20], "doc_id long, text string").where("text is not null").coalesce(1)
+    once, often = (S.suffixes(docs, 100, n).where("at >= 0") for n in (1_000_000, 30))
+    first = {tuple(r) for r in once.collect()}
+    assert first and first <= {tuple(r) for r in often.collect()}
