@@ -41,3 +41,11 @@ def test_derivation_is_compiled(static_plans, derived):
     assert derived.count() == 20
     for shape in (P.processed_sheet(derived), P.json_records(P.processed_sheet(derived)), P.warehouse_shape(derived)):
         assert largest_method(shape) < INTERPRETED
+
+
+def test_sums_make_one_row_a_value(spark, static_plans):
+    df = spark.createDataFrame([("x", 0.5, 1e-278), ("x", None, 2.0 ** 60)], "k string, a double, b double")
+    sums = exact.exact_sums(df, ["k"], ["a", "b"])
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "aggregate(" not in plan
+    assert [tuple(r) for r in sums.collect()] == [("x", 0.5, 2.0 ** 60)]
