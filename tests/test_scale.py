@@ -49,3 +49,12 @@ def test_sums_make_one_row_a_value(spark, static_plans):
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate explode") == 1 and "aggregate(" not in plan
     assert [tuple(r) for r in sums.collect()] == [("x", 0.5, 2.0 ** 60)]
+
+
+def test_rules_read_the_rows_once(spark, static_plans, tmp_path):
+    spark.createDataFrame([("ACME, C.A.", "NORTE"), ("OTHER", "SUR")], "_prov_u string, _suc_u string").write.parquet(f"{tmp_path}/facts")
+    always = spark.createDataFrame([("ACME",)], "rule string")
+    branch = spark.createDataFrame([("OTHER", "SUR")], "provider string, branch string")
+    flagged = containment.flag_rules(spark.read.parquet(f"{tmp_path}/facts"), always, branch)
+    assert flagged._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/facts") == 1
+    assert sorted((r._prov_u, r._always, r._branch) for r in flagged.collect()) == [("ACME, C.A.", True, False), ("OTHER", False, True)]
