@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import text
 from ..rules import DEFAULT_RULES, PayRules
-from ..session import stored
+from ..session import compiled_apart, stored
 from . import clean as C
 from .keyed import join_keyed
 
@@ -160,4 +160,4 @@ def promote_all(grid: DataFrame, rules: PayRules = DEFAULT_RULES, broadcast_byte
 
 def named_rows(grid: DataFrame, rules: PayRules = DEFAULT_RULES) -> DataFrame:
     """K9: detected, promoted and cleaned rows (no derivation)."""
-    return C.clean(promote_header(grid, rules), rules)
+    return C.clean(compiled_apart(promote_header(grid, rules)), rules)

@@ -43,6 +43,13 @@ def test_derivation_is_compiled(static_plans, derived):
         assert largest_method(shape) < INTERPRETED
 
 
+def test_named_rows_are_compiled(spark, static_plans, tmp_path):
+    cells = ", ".join(f"'{h}'" for h in R.EXPECTED_HEADERS)
+    spark.range(10).selectExpr("'b' AS batch_id", "id AS row_idx", f"IF(id = 0, array({cells}), transform(sequence(1, 24), i -> CAST(i + id AS STRING))) AS cells").write.parquet(f"{tmp_path}/grid")
+    rows = header.named_rows(spark.read.parquet(f"{tmp_path}/grid"))
+    assert rows.count() == 9 and largest_method(rows) < INTERPRETED
+
+
 def test_sums_make_one_row_a_value(spark, static_plans):
     df = spark.createDataFrame([("x", 0.5, 1e-278), ("x", None, 2.0 ** 60)], "k string, a double, b double")
     sums = exact.exact_sums(df, ["k"], ["a", "b"])
