@@ -65,3 +65,14 @@ def test_rules_read_the_rows_once(spark, static_plans, tmp_path):
     flagged = containment.flag_rules(spark.read.parquet(f"{tmp_path}/facts"), always, branch)
     assert flagged._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/facts") == 1
     assert sorted((r._prov_u, r._always, r._branch) for r in flagged.collect()) == [("ACME, C.A.", True, False), ("OTHER", False, True)]
+
+
+def test_a_load_moves_no_rows(spark, derived):
+    table = "payrun_scale_load"
+    shape = P.warehouse_shape(derived).repartition(3)
+    assert WH.load(shape, table, "replace", "a").first().rows_in_table == 20
+    current, previous = WH.generations(spark, table)
+    files = spark.table(current).select("_metadata.file_path").distinct().count()
+    spark.sql(f"DROP VIEW {table}")
+    spark.sql(f"DROP TABLE {WH.quoted(current)}")
+    assert files == 3
