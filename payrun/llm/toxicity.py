@@ -142,6 +142,14 @@ class Network:
             keep.update(at=at, mask=mask, kf=kf, kb=kb, h=h, a=a, pooled=pooled)
         return pooled @ p["out"] + p["bias"][0]
 
+    def in_turns(self, x: Inputs, start: np.ndarray, length: np.ndarray, most: int = 2048) -> Iterator[tuple[int, np.ndarray]]:
+        """Logits of ``most`` windows at a time, and the place of the first: only the words
+        of these windows are embedded at once, whatever the length of all texts."""
+        for a in range(0, len(start), most):
+            s, n = start[a:a + most], length[a:a + most]
+            lo, hi = int(s[0]), int((s + n).max())
+            yield a, self.forward(self.embed(x.part(lo, hi)), s - lo, n)
+
     def gradients(self, x: Inputs, start: np.ndarray, length: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
         """Of the mean weighted log loss of these windows."""
         p, keep = self.p, {}
@@ -204,12 +212,8 @@ class ToxicityModel:
                 stop += 1
             inputs, first = text_inputs(WB.split_words(texts[at:stop]))
             start, length, text = windows(first)
-            for a in range(0, len(start), 8192):        # windows of very long texts in turns
-                b = min(a + 8192, len(start))
-                lo, hi = int(start[a]), int((start + length)[a:b].max())
-                embedded = self.network.embed(inputs.part(lo, hi))
-                logit = self.network.forward(embedded, start[a:b] - lo, length[a:b])
-                np.maximum.at(best, at + text[a:b], logit)
+            for a, logit in self.network.in_turns(inputs, start, length):
+                np.maximum.at(best, at + text[a:a + len(logit)], logit)
             at = stop
         return best
 
@@ -240,9 +244,7 @@ def train(texts: list[str], y: np.ndarray, prior: float, rounds: int = 9, seed:
                 np.cumsum(length[at]) - length[at])
 
     for turn in range(rounds if len(start) else 0):
-        embedded = model.network.embed(inputs)
-        logit = np.concatenate([model.network.forward(embedded, start[a:a + 8192], length[a:a + 8192])
-                                for a in range(0, len(start), 8192)])
+        logit = np.concatenate([part for _, part in model.network.in_turns(inputs, start, length)])
         order = np.lexsort((-logit, text))
         top = order[np.unique(text[order], return_index=True)[1]]
         of_toxic = toxic[text]

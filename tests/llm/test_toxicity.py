@@ -90,3 +90,11 @@ def test_one_id_on_many_rows_brings_a_bounded_number_of_texts(spark, monkeypatch
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     T.fit(docs, labels, per_class=50)
     assert 60 < sum(seen["y"] == 1) <= 100 and sorted(t for t, y in zip(seen["texts"], seen["y"]) if y == 0) == ["fine", "good"]
+
+
+def test_training_embeds_the_words_of_some_windows_at_a_time(monkeypatch):
+    words, embed = [], T.Network.embed
+    monkeypatch.setattr(T.Network, "embed", lambda self, x: words.append(len(x.word)) or embed(self, x))
+    texts = [" ".join(f"w{(i * 7 + j * 13) % 997}" for j in range(3000)) for i in range(50)]
+    T.train(texts, np.arange(50) % 2 * 1.0, 0.5, rounds=1)
+    assert max(words) <= 2048 * T.WINDOW < 40 * 3000
