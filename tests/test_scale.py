@@ -5,11 +5,14 @@ import re
 import pytest
 
 from payrun import rules as R
+from payrun.operators import areas as A
+from payrun.operators import clean as C
 from payrun.operators import containment, exact, header
 from payrun.operators import publish as P
 from payrun.operators import rates as RT
 from payrun.plans import pipeline
 from payrun.sinks import warehouse as WH
+from payrun.sources import fixtures as FX
 
 INTERPRETED = 8000          # bytecodes of a method that the JVM does not compile
 
@@ -76,3 +79,49 @@ def test_a_load_moves_no_rows(spark, derived):
     spark.sql(f"DROP VIEW {table}")
     spark.sql(f"DROP TABLE {WH.quoted(current)}")
     assert files == 3
+
+
+@pytest.fixture()
+def tables(spark, tmp_path):
+    """Eight lines of four orders, with what the invoice view joins to them."""
+    made = {
+        "nation": spark.sql("SELECT 1 AS n_nationkey, 'PERU' AS n_name"),
+        "customer": spark.range(4).selectExpr("id AS c_custkey", "1 AS c_nationkey", "'BUILDING' AS c_mktsegment"),
+        "supplier": spark.range(3).selectExpr("id AS s_suppkey", "'Supplier#' || id AS s_name", "1 AS s_nationkey"),
+        "orders": spark.range(4).selectExpr("id AS o_orderkey", "id AS o_custkey", "DATE'2026-01-02' AS o_orderdate", "'1-URGENT' AS o_orderpriority"),
+        "lineitem": spark.range(8).selectExpr("id % 4 AS l_orderkey", "id AS l_partkey", "id % 3 AS l_suppkey", "CAST(id DIV 4 + 1 AS INT) AS l_linenumber",
+                                              "'A' AS l_returnflag", "100.5D * id AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax", "DATE'2026-02-03' AS l_shipdate"),
+    }
+    for name, table in made.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.fixture()
+def no_broadcast(spark, static_plans):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_not_shuffled_by_customer(spark, no_broadcast, tables):
+    view = FX.invoices(spark, tables)
+    plan = plan_of(view)
+    assert re.findall(r"Join \[(\w+)#", plan) == ["l_suppkey", "l_orderkey", "c_nationkey", "o_custkey"]
+    written = FX.INVOICES_SQL.format(extra="", **{t: r for t, r in FX.spark_refs(tables).items() if t in FX.TABLES})
+    assert view.count() == 8 and view.exceptAll(spark.sql(written)).isEmpty()
+
+
+def test_text_amounts_are_compiled(spark, static_plans, tables):
+    raw = FX.raw_invoices(spark, tables)
+    assert raw.count() == 8 and raw.exceptAll(spark.sql(FX.raw_invoices_sql(FX.spark_refs(tables)))).isEmpty()
+    assert largest_method(C.coerce_numbers(C.clean(raw))) < INTERPRETED
+
+
+def test_lookup_does_not_sort_the_facts(spark, no_broadcast, tables):
+    df = A.attach_area_lookup(FX.invoices(spark, tables), FX.areas(spark, tables))
+    assert "ShuffledHashJoin [_lookup_key" in plan_of(df) and df.count() == 8
