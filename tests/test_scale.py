@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from payrun import rules as R
 from payrun.operators import areas as A
@@ -11,6 +12,7 @@ from payrun.operators import containment, exact, header
 from payrun.operators import publish as P
 from payrun.operators import rates as RT
 from payrun.plans import pipeline
+from payrun.sinks import files as SF
 from payrun.sinks import warehouse as WH
 from payrun.sources import fixtures as FX
 
@@ -125,3 +127,14 @@ def test_text_amounts_are_compiled(spark, static_plans, tables):
 def test_lookup_does_not_sort_the_facts(spark, no_broadcast, tables):
     df = A.attach_area_lookup(FX.invoices(spark, tables), FX.areas(spark, tables))
     assert "ShuffledHashJoin [_lookup_key" in plan_of(df) and df.count() == 8
+
+
+def test_a_run_of_few_batches_is_written_where_it_is(spark, derived, tmp_path):
+    sheet = P.processed_sheet(derived).repartition(3)
+    rates = RT.rates_from_quotes(spark.sql("SELECT 'batch-0' AS batch_id, CAST(NULL AS MAP<STRING, STRING>) AS ves_quote, '' AS cop_payload, '' AS eur_payload, "
+                                           "CAST(NULL AS TIMESTAMP) AS ves_fetched_at, CAST(NULL AS TIMESTAMP) AS cop_fetched_at, CAST(NULL AS TIMESTAMP) AS eur_fetched_at"), ["batch_id"])
+    areas = spark.createDataFrame([(1, "3", "VENTAS")], "pos long, codigo string, area string")
+    SF.write_run(sheet, rates, areas, f"{tmp_path}/run", F.lit("2026-01-15 14:30:00").cast("timestamp_ntz"))
+    rows = SF.read_folders(spark, f"{tmp_path}/run/detail")
+    assert rows.count() == 20 and rows.select("_metadata.file_path").distinct().count() > 2
+    assert SF.few_batches(spark.range(SF.FEW_FOLDERS)) and not SF.few_batches(spark.range(SF.FEW_FOLDERS + 1))
