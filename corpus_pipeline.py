@@ -75,7 +75,7 @@ def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
 def without(rows: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     """Documents whose row key is not among ``dropped(row)``; texts are shuffled only
     where the keys are too many for a table in each task."""
-    dropped = written(dropped.distinct().select(F.col("row").alias(row)), "dropped")
+    dropped = written(dropped.distinct().select(F.col("row").alias(row)), "dropped", hamming_dedup.BATCH_ROWS)
     if dropped.count() <= hamming_dedup.BROADCAST_IDS:
         dropped = F.broadcast(dropped)
     return rows.join(dropped, row, "left_anti").drop(row)

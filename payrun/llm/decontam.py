@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,32 +154,51 @@ class ItemIndex:
             out[at] = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
         return out
 
+    def _ids(self, words: WB.Words) -> np.ndarray:
+        """The vocabulary's id of each word, 0 of others."""
+        hashes = term_hashes(words)
+        if not len(hashes) or not len(self.vocabulary):
+            return np.zeros(len(hashes), np.int64)
+        place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[place] == hashes, place + 1, 0)
+
+    def _windows(self, ids: np.ndarray, words: WB.Words, text_of: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(item length, window length, starts) of the windows that may match."""
+        if not ids.any():
+            return
+        known = np.concatenate([[0], np.cumsum(ids > 0)])
+        follow = np.concatenate([[0], np.cumsum(self._in_items(ids))])      # pairs before each word
+        count = np.diff(words.first)
+        for n, (_, items) in self.by_length.items():
+            k = self.allowed(n)
+            pairs = n - 1 - 2 * k - int((items[:, 1:] == items[:, :-1]).sum(axis=1).max())
+            if len(ids) >= n:
+                yield n, n, np.flatnonzero((known[n:] - known[:-n] >= n - k)
+                                           & (follow[n - 1:] - follow[:len(ids) - n + 1] >= pairs)
+                                           & (text_of[n - 1:] == text_of[:len(ids) - n + 1]))
+            for size in range(max(1, n - k), n):            # documents shorter than the item
+                start = words.first[:-1][count == size]
+                if len(start):
+                    start = start[(known[start + size] - known[start] >= n - k)
+                                  & (follow[start + size - 1] - follow[start] >= pairs)]
+                yield n, size, start
+
+    def possible(self, texts: list[str | None]) -> np.ndarray:
+        """Whether a text has a window that may match."""
+        words = WB.split_words(texts, WB.IS_TERM)
+        text_of, out = np.repeat(np.arange(len(texts)), np.diff(words.first)), np.zeros(len(texts), bool)
+        for _, _, start in self._windows(self._ids(words), words, text_of):
+            out[text_of[start]] = True
+        return out
+
     def match(self, texts: list[str | None]) -> dict[str, np.ndarray]:
         """Best window of each (text, item) within the allowed edits."""
         words = WB.split_words(texts, WB.IS_TERM)
-        hashes = term_hashes(words)
+        ids, text_of = self._ids(words), np.repeat(np.arange(len(texts)), np.diff(words.first))
         out: list[tuple[np.ndarray, ...]] = []
-        if len(hashes) and len(self.vocabulary):
-            place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-            ids = np.where(self.vocabulary[place] == hashes, place + 1, 0)
-            known = np.concatenate([[0], np.cumsum(ids > 0)])
-            follow = np.concatenate([[0], np.cumsum(self._in_items(ids))])      # pairs before each word
-            text_of = np.repeat(np.arange(len(texts)), np.diff(words.first))
-            count = np.diff(words.first)
-            for n, (item_ids, items) in self.by_length.items():
-                k = self.allowed(n)
-                pairs = n - 1 - 2 * k - int((items[:, 1:] == items[:, :-1]).sum(axis=1).max())
-                if len(ids) >= n:
-                    start = np.flatnonzero((known[n:] - known[:-n] >= n - k)
-                                           & (follow[n - 1:] - follow[:len(ids) - n + 1] >= pairs)
-                                           & (text_of[n - 1:] == text_of[:len(ids) - n + 1]))
-                    self._verify(ids, start, n, n, items, item_ids, k, text_of, words.first, out)
-                for size in range(max(1, n - k), n):            # documents shorter than the item
-                    start = words.first[:-1][count == size]
-                    if len(start):
-                        start = start[(known[start + size] - known[start] >= n - k)
-                                      & (follow[start + size - 1] - follow[start] >= pairs)]
-                    self._verify(ids, start, size, n, items, item_ids, k, text_of, words.first, out)
+        for n, size, start in self._windows(ids, words, text_of):
+            item_ids, items = self.by_length[n]
+            self._verify(ids, start, size, n, items, item_ids, self.allowed(n), text_of, words.first, out)
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
         order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
         cols = [c[order] for c in cols]
@@ -237,23 +257,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     return found
 
 
-def scan(index, group_bytes: int = 16 << 20):
-    """Matches the texts of a batch in groups of about ``group_bytes``."""
+def scan(index, group_bytes: int = 4 << 20, read_bytes: int = 1 << 20):
+    """Matches the texts of a task. About ``read_bytes`` of texts are looked through at a
+    time; those with a window that may match are kept and matched, about ``group_bytes`` together."""
+
+    def matched(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
+        got = index.value.match(texts)
+        if len(got["text"]):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()).take(pa.array(got["text"])), pa.array(got["item_id"], pa.int64()),
+                 pa.array(got["distance"], pa.int32()), pa.array(got["start"], pa.int32()), pa.array(got["n"], pa.int32()),
+                 pa.array(1 - got["distance"] / got["n"], pa.float64())],
+                ["doc_id", "item_id", "distance", "start_word", "n_words", "similarity"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, size = [], [], 0
         for batch in batches:
-            doc_ids, texts, at = batch.column(0), batch.column(1).to_pylist(), 0
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size < group_bytes):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                got = index.value.match(texts[at:stop])
-                if len(got["text"]):
-                    yield pa.RecordBatch.from_arrays(
-                        [doc_ids.take(pa.array(got["text"] + at)), pa.array(got["item_id"], pa.int64()),
-                         pa.array(got["distance"], pa.int32()), pa.array(got["start"], pa.int32()), pa.array(got["n"], pa.int32()),
-                         pa.array(1 - got["distance"] / got["n"], pa.float64())],
-                        ["doc_id", "item_id", "distance", "start_word", "n_words", "similarity"])
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            at = 0
+            while at < batch.num_rows:
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + read_bytes, side="right")))
+                part = batch.slice(at, stop - at)
+                some = part.column(1).to_pylist()
+                for i in np.flatnonzero(index.value.possible(some)):
+                    ids.append(part.column(0)[i].as_py())
+                    texts.append(some[i])
+                    size += int(ends[at + i] - (ends[at + i - 1] if at + i else 0))
+                    if size >= group_bytes:
+                        yield from matched(ids, texts)
+                        ids, texts, size = [], [], 0
                 at = stop
+        if texts:
+            yield from matched(ids, texts)
     return run

@@ -42,6 +42,8 @@ CHUNKS, WIDTH, ERRORS = 12, 5, 1
 RADIUS = CHUNKS * (ERRORS + 1) - 1
 #: Ids that a task may hold as a broadcast table (8 MB); larger sets of ids are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Texts, or shingle sets, that go to Python at a time.
+BATCH_ROWS = 1000
 
 
 def sign(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -107,7 +109,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int, id_col: str, text_col: str)
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].alias("text")).join(ids, "node")
-    return stage(texts.mapInArrow(run, "node long, shingles binary"), "sets")
+    return stage(texts.mapInArrow(run, "node long, shingles binary"), "sets", BATCH_ROWS)
 
 
 def near_pairs(sigs: np.ndarray, sizes: np.ndarray, num: int, den: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -177,7 +179,7 @@ def first_links(docs, members, nodes, n, num, den, id_col, text_col) -> DataFram
 
     full = (best.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").select("a", "b", "set_a", "set_b"))
-    return stage(full.mapInArrow(confirm, "a long, b long"), "first_links")
+    return stage(full.mapInArrow(confirm, "a long, b long"), "first_links", BATCH_ROWS)
 
 
 def blocked(rows: DataFrame, counts: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -259,7 +261,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
                     text_col: str = "text", bucket_block: int = 2000, family_block: int = 400) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``: links join
     documents with ``den * |a and b| >= num * |a or b|`` on their ``n``-word shingles."""
-    signed = stage(sign(docs, n, id_col, text_col), "signed")
+    signed = stage(sign(docs, n, id_col, text_col), "signed", BATCH_ROWS)
     whole = signed.where("set_key is not null and doc_id is not null")
     by_set = stage(whole.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
     nodes = by_set.select("node", "n", "sig")

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from payrun.llm import decontam as D
@@ -90,3 +92,30 @@ def test_edges(spark):
     none = spark.createDataFrame([], ITEMS)
     assert D.contaminated(spark.createDataFrame(docs, DOCS), none).count() == 0
     assert D.contaminated(spark.createDataFrame([], DOCS), spark.createDataFrame(items, ITEMS)).count() == 0
+
+
+def test_memory_of_a_batch_of_long_texts():
+    """Only texts with a window that may match are held together, whatever the batch."""
+    rng = np.random.default_rng(1)
+    passage = " ".join(f"passage{i}" for i in range(30))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 600)) for _ in range(4000)]
+    texts[7], texts[9], texts[3999] = f"{texts[7]} {passage}", None, passage
+    index = type("Held", (), {"value": D.ItemIndex.build([(5, passage)], 0.8, 4, 16, 2)})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    got = [r for out in D.scan(index)(iter([batch])) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["doc_id"], r["item_id"], r["distance"], r["start_word"]) for r in got] == [(7, 5, 0, 600), (3999, 5, 0, 0)]
+    assert peak < 40 << 20
+
+
+@pytest.mark.parametrize("sizes", [(20_000, 300), (4 << 20, 1 << 20)])
+def test_groups_of_any_size_give_the_same_rows(sizes):
+    docs, items = corpus(5)
+    index = type("Held", (), {"value": D.ItemIndex.build([(i, t) for i, t, _ in items], 0.8, 4, 16, 2)})
+    batches = [pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs[a:a + 50]], pa.int64()), pa.array([d[1] for d in docs[a:a + 50]])],
+                                          ["doc_id", "text"]) for a in range(0, 160, 50)]
+    got = [tuple(r.values()) for out in D.scan(index, *sizes)(iter(batches)) for r in out.to_pylist()]
+    whole = index.value.match([t for _, t, _ in docs])
+    assert [r[:5] for r in got] == [(docs[t][0], int(i), int(d), int(s), int(n)) for t, i, d, s, n in zip(*whole.values())]
