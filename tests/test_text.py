@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from payrun import rules as R
-from payrun.functions import text
+from payrun.functions import dates, text
+from payrun.operators import areas
 
 
 def test_strip_matches_python(spark):
@@ -36,3 +37,32 @@ def test_large_integers_and_non_finite(spark):
     assert [r.i for r in rows] == [3_000_000_000, 0, 0, 0, 0]
     d = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.7976931348623157e308,), (None,)], "v double")
     assert [r[0] for r in d.select(text.num(F.col("v"), d.schema["v"].dataType)).collect()] == [0.0, 0.0, 1.7976931348623157e308, 0.0]
+
+
+def test_cells_are_stripped_as_python_does(spark):
+    vals = ["　x ", " a ", "a\t", "~", "!", "", None, "  ", "é ", "é", "xé", " \u0085z\x1c", "a b", "\x7f", "z\u3000", "J-12"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [tuple(r) for r in df.select(text.strip_cell("s"), text.upper_cell("s")).collect()]
+    assert got == [(None, None) if v is None else (v.strip(), v.strip().upper()) for v in vals]
+
+
+def test_plain_integers_read_as_numbers_do(spark):
+    vals = ["0", "-0", "7", "-7", "+7", "007", " 7", "7 ", "", None, "n/d", "1e3", "0.0", "1e-400", "999999999999999", "9007199254740993",
+            "9223372036854775807", "9223372036854775808", "1_0", "٣", "0x1", "7L"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    by_pattern = F.coalesce(text.num("s").try_cast("bigint"), F.lit(0).cast("bigint"))
+    zero = (F.col("s") == "") | (F.coalesce(text.text_to_double("s"), F.lit(1.0)) == 0)
+    for r in df.select("s", text.to_int("s").alias("i"), by_pattern.alias("j"), areas.requester_is_zero(F.col("s")).alias("z"), zero.alias("y")).collect():
+        assert (r.i, r.z) == (r.j, r.y), r
+
+
+def test_dates_read_as_their_formats_do(spark):
+    vals = ["2025-01-31", "2025-02-30", "2025-1-1 x", "2025-01-1T", "2025-01-1 ", " 2025-01-31 ", "0000-01-01", "0001-01-01", "9999-12-31", "+2025-01-1",
+            "1582-10-10", "31/01/2025", "2025/01/31", "31-01-2025", "2025-01-31 10:00:00", "2025-01-31T10:00:00", "", "n/d", None, "20250131", "２０２５-01-01"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    by_format = F.coalesce(*[F.try_to_timestamp(text.strip("s"), F.lit(f)) for f in R.DATE_FORMATS]).cast("date")
+    other = ("yyyy-dd-MM", "yyyy-MM-dd")
+    for r in df.select("s", dates.parse_date("s", R.DATE_FORMATS).cast("string").alias("d"), by_format.cast("string").alias("e"),
+                       dates.parse_date(F.lit("2025-01-02"), other).cast("string").alias("o")).collect():
+        assert r.d == r.e and r.o == "2025-02-01", r
+
