@@ -138,3 +138,26 @@ def test_a_run_of_few_batches_is_written_where_it_is(spark, derived, tmp_path):
     rows = SF.read_folders(spark, f"{tmp_path}/run/detail")
     assert rows.count() == 20 and rows.select("_metadata.file_path").distinct().count() > 2
     assert SF.few_batches(spark.range(SF.FEW_FOLDERS)) and not SF.few_batches(spark.range(SF.FEW_FOLDERS + 1))
+
+
+ODD_CODES = ["7", " 8 ", "0.0", "", "n\u0002o", "\u0003", "a\u0001b", "\u0001", "ñandú 火", "X-7", "77", "+9", "absent", None]
+
+
+def test_packed_lookup_equals_the_shuffled_one(spark, tmp_path):
+    spark.createDataFrame([(i, c) for i, c in enumerate(ODD_CODES * 2)], "id long, solicitante string").write.parquet(f"{tmp_path}/facts")
+    spark.createDataFrame([(i, c, a) for i, (c, a) in enumerate([*((c, f"AREA \u0002{i % 3}\u0001") for i, c in enumerate(ODD_CODES) if c != "absent"), ("7", None), ("77", "\u0003")])]
+                          + [(100 + i, f"code {i}", "MANY") for i in range(500)], "pos long, codigo string, area string").write.parquet(f"{tmp_path}/areas")
+    facts, areas = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("facts", "areas"))
+    rows = [sorted(map(tuple, A.attach_area_lookup(facts, areas, **least).select("id", "_sol_key", A.LOOKUP_COL).collect()), key=str) for least in ({}, {"packed_bytes": -1})]
+    assert rows[0] == rows[1] and len(rows[0]) == 2 * len(ODD_CODES)
+    found = {ODD_CODES[i % len(ODD_CODES)]: a for i, _, a in rows[0]}
+    assert found["7"] == "SERVICIOS" and found["77"] == "\u0003" and found["n\u0002o"] == "AREA \u00021\u0001" and found["absent"] is found[""] is found["0.0"] is None
+    assert A.attach_area_lookup(facts, areas.limit(0)).where(f"{A.LOOKUP_COL} IS NULL").count() == len(rows[0])
+
+
+def test_lookup_moves_no_rows(spark, static_plans, tables):
+    df = A.attach_area_lookup(FX.invoices(spark, tables), FX.areas(spark, tables))
+    plan = plan_of(df)
+    facts = plan[plan.index("BroadcastHashJoin [_bucket"):]
+    assert "_lookup_key" not in plan and not re.search(r"hashpartitioning\((solicitante|_sol_key|_bucket)", facts[:facts.index("BroadcastExchange")])
+    assert df.count() == 8
