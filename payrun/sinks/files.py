@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..functions import dates
 from ..operators import publish as P
 from ..rules import DEFAULT_RULES, PayRules
+from ..session import CODEC, shuffles_dropped
 
 FOLDERS = ("run_date", "run_stamp", "batch_id")
 PARTS = ("detail", "rates", "areas", "records")
@@ -46,7 +47,10 @@ def write_folders(df: DataFrame, path: str, folders: tuple[str, ...], fmt: str =
               .option("maxRecordsPerFile", max_rows).partitionBy(*folders))
     if fmt == "csv":
         writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    writer.save(path)
+    if fmt == "parquet":
+        writer = writer.option("compression", CODEC)
+    with shuffles_dropped(df.sparkSession):
+        writer.save(path)
 
 
 def read_folders(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

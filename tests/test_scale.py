@@ -1,5 +1,6 @@
 """What keeps the cost of a row small: short compiled methods, few passes, few shuffles."""
 
+import os
 import re
 
 import pytest
@@ -12,6 +13,7 @@ from payrun.operators import containment, exact, header
 from payrun.operators import publish as P
 from payrun.operators import rates as RT
 from payrun.plans import pipeline
+from payrun.session import CLEANUP, stored
 from payrun.sinks import files as SF
 from payrun.sinks import warehouse as WH
 from payrun.sources import fixtures as FX
@@ -161,3 +163,26 @@ def test_lookup_moves_no_rows(spark, static_plans, tables):
     facts = plan[plan.index("BroadcastHashJoin [_bucket"):]
     assert "_lookup_key" not in plan and not re.search(r"hashpartitioning\((solicitante|_sol_key|_bucket)", facts[:facts.index("BroadcastExchange")])
     assert df.count() == 8
+
+
+def shuffle_files(spark) -> set[str]:
+    """Those of more than the few bytes that a count shuffles."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f and f.endswith(".data") and os.path.exists(f) and os.path.getsize(f) > 500}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    dealt = spark.range(1000).selectExpr("'b' || id % 3 AS batch_id", "id").repartition(5, "id")
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP)
+    assert stored(dealt, "dealt").count() == 1000
+    SF.write_staging(dealt, f"{tmp_path}/staging", few=True)
+    assert SF.read_folders(spark, f"{tmp_path}/staging").count() == 1000
+    left = shuffle_files(spark)
+    WH.load(P.warehouse_shape(dealt), "payrun_scale_dropped", "replace", "a")
+    current, _ = WH.generations(spark, "payrun_scale_dropped")
+    names = [r.file_path for t in (spark.table(current), SF.read_folders(spark, f"{tmp_path}/staging")) for r in t.select("_metadata.file_path").distinct().collect()]
+    spark.sql("DROP VIEW payrun_scale_dropped")
+    spark.sql(f"DROP TABLE {WH.quoted(current)}")
+    assert left <= before and spark.conf.get(CLEANUP) == setting
+    assert dealt.exceptAll(dealt).isEmpty() and not shuffle_files(spark) <= before
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
