@@ -186,3 +186,10 @@ def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
     assert left <= before and spark.conf.get(CLEANUP) == setting
     assert dealt.exceptAll(dealt).isEmpty() and not shuffle_files(spark) <= before
     assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_step2_is_compiled(spark, static_plans, derived, tmp_path):
+    P.processed_sheet(derived).write.parquet(f"{tmp_path}/sheet")
+    rates = RT.default_rates(spark.createDataFrame([("batch-0",), ("batch-1",)], "batch_id string"))
+    shape = pipeline.step2_shape(spark.read.parquet(f"{tmp_path}/sheet"), spark.createDataFrame([], "pos long, codigo string, area string"), rates)
+    assert shape.count() == 20 and largest_method(shape) < INTERPRETED
