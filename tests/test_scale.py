@@ -193,3 +193,15 @@ def test_step2_is_compiled(spark, static_plans, derived, tmp_path):
     rates = RT.default_rates(spark.createDataFrame([("batch-0",), ("batch-1",)], "batch_id string"))
     shape = pipeline.step2_shape(spark.read.parquet(f"{tmp_path}/sheet"), spark.createDataFrame([], "pos long, codigo string, area string"), rates)
     assert shape.count() == 20 and largest_method(shape) < INTERPRETED
+
+
+def test_rules_are_not_broadcast(spark, static_plans, tmp_path):
+    """Each broadcast costs the driver 32 MB at least; the two of the flags are measured."""
+    spark.createDataFrame([("ACME, C.A.", "NORTE"), ("OTHER", "SUR"), ("", "")], "_prov_u string, _suc_u string").write.parquet(f"{tmp_path}/facts")
+    always = spark.createDataFrame([("ACME",)], "rule string")
+    branch = spark.createDataFrame([("OTHER", "SUR")], "provider string, branch string")
+    values = spark.read.parquet(f"{tmp_path}/facts").selectExpr("_prov_u AS value")
+    assert "BroadcastExchange" not in plan_of(containment.matches(values, always))
+    flagged = containment.flag_rules(spark.read.parquet(f"{tmp_path}/facts"), always, branch)
+    assert plan_of(flagged).count("BroadcastExchange") == 2
+    assert sorted((r._prov_u, r._always, r._branch) for r in flagged.collect()) == [("", True, True), ("ACME, C.A.", True, False), ("OTHER", False, True)]
